@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-SECTIONS = ("models",)
+SECTIONS = ("models", "expressions", "relations", "loading", "checks", "topics")
 
 
 def _entries() -> dict[str, tuple[Query, str | None]]:
