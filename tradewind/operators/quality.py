@@ -222,14 +222,14 @@ def verdict(results: DataFrame) -> DataFrame:
 def freshness(rows: DataFrame, name: str, loaded_at: str, warn_hours: int, error_hours: int,
               as_of: datetime) -> DataFrame:
     """Age of the newest row against the limits; a table without rows is an error."""
-    newest = rows.agg(F.max(loaded_at).alias("newest"))
-    age = F.unix_seconds(F.lit(as_of).cast("timestamp")) - F.unix_seconds(F.col("newest"))
+    newest = rows.agg(F.max(loaded_at).alias("newest_row"))
+    age = F.unix_seconds(F.lit(as_of).cast("timestamp")) - F.unix_seconds(F.col("newest_row"))
     status = (
-        F.when(F.col("newest").isNull() | (F.col("age_seconds") > error_hours * 3600), "error")
+        F.when(F.col("newest_row").isNull() | (F.col("age_seconds") > error_hours * 3600), "error")
         .when(F.col("age_seconds") > warn_hours * 3600, "warn")
         .otherwise("pass")
     )
     return (
-        newest.select(F.lit(name).alias("source_name"), F.col("newest").alias("newest_row"), age.alias("age_seconds"))
+        newest.select(F.lit(name).alias("source_name"), "newest_row", age.alias("age_seconds"))
         .withColumn("status", status)
     )

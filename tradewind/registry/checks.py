@@ -13,6 +13,7 @@ from tradewind.plans.batch_load import reconcile_load
 from tradewind.registry.contract import rendered_sql
 from tradewind.registry.register import Register
 from tradewind.registry.relations import FOREIGN_KEY_SQL, all_orphans
+from tradewind.session import fresh_folder
 from tradewind.sources.sinks import align
 from tradewind.sources.star_tables import RAW, warehouse
 
@@ -149,7 +150,9 @@ def _(spark, folder):
     """Every suite's verdict, and whether its gate let the load through."""
     result = None
     for name, suite in suites.SUITES.items():
-        results = evaluated(name, suite())(spark, folder)
+        path = fresh_folder(spark, f"results-{name}")
+        evaluated(name, suite())(spark, folder).write.parquet(path)
+        results = spark.read.parquet(path)
         try:
             quality.require(results, name)
             loaded = True

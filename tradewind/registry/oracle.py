@@ -124,7 +124,7 @@ TABLES["raw_order_items"] = """
 TABLES["raw_orders_stream"] = f"""
     SELECT CAST(o_orderkey AS VARCHAR) AS kafka_key, o_orderkey // 4 AS kafka_offset,
            CAST(o_orderkey % 4 AS INT) AS kafka_partition,
-           o_orderdate + to_hours(o_orderkey % 24) AS kafka_timestamp,
+           TIMESTAMP '2001-08-01' + to_seconds(o_orderkey * 7 % 86400) AS kafka_timestamp,
            'os-' || o_orderkey AS event_id,
            ['order_created', ' Order_Updated', 'order_cancelled'][o_orderkey % 3 + 1] AS event_type,
            CASE WHEN o_orderkey % 97 = 0 THEN 'bad'
@@ -142,7 +142,8 @@ TABLES["raw_orders_stream"] = f"""
 
 TABLES["raw_clickstream"] = f"""
     SELECT CAST(event_id AS VARCHAR) AS kafka_key, event_id // 4 AS kafka_offset,
-           CAST(event_id % 4 AS INT) AS kafka_partition, ts AS kafka_timestamp,
+           CAST(event_id % 4 AS INT) AS kafka_partition,
+           TIMESTAMP '2024-01-31' + to_seconds(event_id * 7 % 86400) AS kafka_timestamp,
            'ce-' || lpad(CAST(event_id AS VARCHAR), 12, '0') AS event_id, click || ' ' AS event_type,
            CASE WHEN event_id % 89 = 0 THEN 'yesterday' ELSE strftime(ts, {ISO_MICROS}) END AS event_timestamp,
            user_id || '-' || strftime(ts, '%Y%m%d') AS session_id,
@@ -166,7 +167,8 @@ TABLES["raw_clickstream"] = f"""
 
 TABLES["raw_inventory_updates"] = f"""
     SELECT CAST(l_partkey AS VARCHAR) AS kafka_key, l_orderkey AS kafka_offset,
-           CAST(l_partkey % 4 AS INT) AS kafka_partition, l_shipdate AS kafka_timestamp,
+           CAST(l_partkey % 4 AS INT) AS kafka_partition,
+           TIMESTAMP '2001-11-05' + to_seconds((l_orderkey + l_linenumber) * 7 % 86400) AS kafka_timestamp,
            concat_ws('-', 'inv', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS event_id,
            CASE l_returnflag WHEN 'R' THEN 'restock' WHEN 'A' THEN 'Sale_deduction' ELSE 'adjustment' END AS event_type,
            strftime(l_shipdate, {ISO_MICROS}) AS event_timestamp,

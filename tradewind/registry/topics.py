@@ -61,10 +61,6 @@ def run_topics(spark, folder, *topics: str) -> dict[str, str]:
     return {job.topic: job.path for job in jobs}
 
 
-def without_clock(topic: str) -> list[str]:
-    return [name for name in schemas.landed(topic).names if name != "ingested_at"]
-
-
 @query("src06_topic_source", """
     SELECT kafka_key, kafka_partition, kafka_offset, length(event_id) > 0 AS has_payload FROM raw_clickstream""")
 def _(spark, folder):
@@ -124,11 +120,11 @@ def _(spark, folder):
 
 
 @query("str02_parse_topic", f"""
-    SELECT {rendered_sql([n for n in schemas.landed('clickstream').names if n != 'ingested_at'])}
-    FROM raw_clickstream""")
+    SELECT kafka_key, kafka_offset, kafka_partition, {rendered_sql('kafka_timestamp')},
+           {', '.join(schemas.CLICKSTREAM.names)} FROM raw_clickstream""")
 def _(spark, folder):
     landed = run_topics(spark, folder, "clickstream")["clickstream"]
-    return ingest.landed_table(spark, "clickstream", landed).select(*without_clock("clickstream"))
+    return ingest.landed_table(spark, "clickstream", landed).drop("ingested_at")
 
 
 @query("str03_restart_from_checkpoint", "SELECT event_id, product_id, quantity_after FROM raw_inventory_updates")

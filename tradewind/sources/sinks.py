@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -27,6 +28,14 @@ def write_dated(rows: DataFrame, base: str, run_date: date) -> None:
     replace_partition(rows, base, "run_date", run_date)
 
 
+def compact(spark: SparkSession, path: str, target: str, columns: Sequence[str], mode: str = "overwrite") -> None:
+    """Rewrite a partitioned table with few large files. The rebalance hint lets AQE split a
+    partition value that holds much and join those that hold little, whatever their number."""
+    rows = spark.read.parquet(path)
+    balanced = rows.hint("rebalance", *[F.col(name) for name in columns])
+    balanced.write.mode(mode).option("compression", "snappy").partitionBy(*columns).parquet(target)
+
+
 def write_run(rows: DataFrame, base: str, run_time: datetime) -> bool:
     """Landing layout by run time (``year=/month=/day=``), appended; an empty extract writes nothing."""
     if rows.isEmpty():

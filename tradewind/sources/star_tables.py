@@ -43,6 +43,11 @@ def _loads(second: str) -> Column:
     return F.explode(F.when(F.expr(second), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
 
 
+def _arrival(day: str, number: str) -> str:
+    """Time at the broker: all events of a topic reach it within one day."""
+    return f"timestamp'{day}' + make_dt_interval(0, 0, 0, cast({number} * 7 % 86400 as decimal(18,6)))"
+
+
 def customers(spark: SparkSession, folder: str) -> DataFrame:
     nation, region = read(spark, folder, "nation"), read(spark, folder, "region")
     located = (
@@ -161,7 +166,7 @@ def orders_stream(spark: SparkSession, folder: str) -> DataFrame:
         "cast(o_orderkey as string) as kafka_key",
         "cast(o_orderkey div 4 as bigint) as kafka_offset",
         "cast(o_orderkey % 4 as int) as kafka_partition",
-        "cast(o_orderdate as timestamp) + make_dt_interval(0, cast(o_orderkey % 24 as int)) as kafka_timestamp",
+        f"{_arrival('2001-08-01', 'o_orderkey')} as kafka_timestamp",
         "concat('os-', cast(o_orderkey as string)) as event_id",
         """element_at(array('order_created', ' Order_Updated', 'order_cancelled'), cast(o_orderkey % 3 + 1 as int))
            as event_type""",
@@ -192,7 +197,7 @@ def clickstream(spark: SparkSession, folder: str) -> DataFrame:
         "cast(event_id as string) as kafka_key",
         "cast(event_id div 4 as bigint) as kafka_offset",
         "cast(event_id % 4 as int) as kafka_partition",
-        "time as kafka_timestamp",
+        f"{_arrival('2024-01-31', 'event_id')} as kafka_timestamp",
         "concat('ce-', lpad(cast(event_id as string), 12, '0')) as event_id",
         "concat(click, ' ') as event_type",
         f"""if(event_id % 89 = 0, 'yesterday', date_format(time, "{ISO_MICROS}")) as event_timestamp""",
@@ -232,7 +237,7 @@ def inventory_updates(spark: SparkSession, folder: str) -> DataFrame:
         "cast(l_partkey as string) as kafka_key",
         "l_orderkey as kafka_offset",
         "cast(l_partkey % 4 as int) as kafka_partition",
-        "time as kafka_timestamp",
+        f"{_arrival('2001-11-05', '(l_orderkey + l_linenumber)')} as kafka_timestamp",
         "concat_ws('-', 'inv', l_orderkey, l_linenumber, l_partkey, l_suppkey) as event_id",
         f"{kinds.format(repr('restock'), repr('Sale_deduction'), repr('adjustment'))} as event_type",
         f"""date_format(time, "{ISO_MICROS}") as event_timestamp""",

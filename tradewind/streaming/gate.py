@@ -24,7 +24,7 @@ def gated_batch(suite: str, checks: Sequence[Check], target: str, quarantine: st
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)  # checked and written: read the source once
         try:
-            failed = failures_of(evaluate(batch, suite, checks, parents))
+            failed = bool(checks) and failures_of(evaluate(batch, suite, checks, parents))
             replace_partition(batch, quarantine if failed else target, BATCH, batch_id)
         finally:
             batch.unpersist()
