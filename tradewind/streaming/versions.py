@@ -22,17 +22,22 @@ def read_version(spark: SparkSession, path: str, version: int, format: str = "pa
 
 
 def version_counts(spark: SparkSession, path: str, versions: list[int], format: str = "parquet") -> DataFrame:
-    """Rows of the given versions and rows added since; one row per version."""
-    current = read_current(spark, path, format).agg(F.count("*").alias("current_rows"))
-    result = None
+    """Rows of the given versions, rows now, and rows added since; one row per version."""
+    now = read_current(spark, path, format).agg(F.count("*").alias("rows"))
+    counts = now.select(F.lit(None).cast("int").alias("version"), "rows")
     for version in versions:
-        counted = read_version(spark, path, version, format).agg(F.count("*").alias("version_rows"))
-        row = counted.select(F.lit(version).alias("version"), "version_rows", F.lit(1).alias("_one"))
-        result = row if result is None else result.unionByName(row)
-    # one row on the right, at most len(versions) on the left
-    joined = result.join(current.withColumn("_one", F.lit(1)), "_one")
-    return joined.select("version", "version_rows", "current_rows",
-                         (F.col("current_rows") - F.col("version_rows")).alias("rows_added"))
+        then = read_version(spark, path, version, format).agg(F.count("*").alias("rows"))
+        counts = counts.unionByName(then.select(F.lit(version).alias("version"), "rows"))
+    # the current count takes part in the row of every version
+    entries = F.when(F.col("version").isNull(), F.array(*map(F.lit, versions))).otherwise(F.array("version"))
+    measured = counts.select(
+        F.explode(entries).alias("version"),
+        F.when(F.col("version").isNull(), F.col("rows")).alias("current"),
+        F.when(F.col("version").isNotNull(), F.col("rows")).alias("at_version"),
+    )
+    return measured.groupBy("version").agg(
+        F.max("at_version").alias("version_rows"), F.max("current").alias("current_rows"),
+    ).withColumn("rows_added", F.col("current_rows") - F.col("version_rows"))
 
 
 def audit(table: DataFrame, name: str) -> DataFrame:
