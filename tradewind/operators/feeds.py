@@ -29,7 +29,7 @@ def recent_orders(orders: DataFrame, items: DataFrame, n: int) -> DataFrame:
     The newest orders are chosen first: only their items are counted and joined.
     """
     chosen = top_n(orders, n, F.desc("order_date"), F.desc("order_id"))
-    wanted = items.join(F.broadcast(chosen.select("order_id")), "order_id", "left_semi")  # n rows
+    wanted = items.join(chosen.select("order_id"), "order_id", "left_semi")
     events = item_counts(chosen, wanted).withColumns({
         "shipping_city": city_of("shipping_address"),
         "shipping_country": country_of("shipping_address"),

@@ -4,7 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
+
+
+def keyed(rows: DataFrame, name: str, alias: str) -> DataFrame:
+    """The unique side of a join: its rows with a key, and a computed copy of the key to join on.
+
+    That side usually comes out of a deduplication and is partitioned by the key already. The copy
+    hides this, so Spark shuffles it once more for the join. AQE splits a hot key of the other side
+    only where both inputs come straight from a shuffle; joined in place, behind the window of the
+    deduplication, a key that holds a third of the facts would stay in one task. The copy is
+    declared non-null: no extra filter reaches the deduplication, whose shuffle stays shareable.
+    """
+    present = rows.where(F.col(name).isNotNull())
+    if isinstance(rows.schema[name].dataType, T.StringType):
+        return present.withColumn(alias, F.coalesce(F.concat(F.col(name), F.lit("")), F.lit("")))
+    return present.withColumn(alias, F.col(name))
 
 
 def lookup(facts: DataFrame, dimension: DataFrame, fact_key: str, dimension_key: str,
@@ -17,12 +32,12 @@ def lookup(facts: DataFrame, dimension: DataFrame, fact_key: str, dimension_key:
     ``matched`` names an optional flag that tells whether the key was found.
     """
     picked = [F.col(name).alias(f"_dim_{name}") for name in columns]
-    side = dimension.select(F.col(dimension_key).alias("_dim_key"), *picked)
+    side = keyed(dimension, dimension_key, "_dim_key").select("_dim_key", *picked)
     probe, absent = F.col(fact_key), F.col(fact_key).isNull()
     if spread_by:
         scattered = F.concat(F.lit("absent-"), F.xxhash64(*[F.col(name) for name in spread_by]).cast("string"))
         probe = F.coalesce(probe, scattered)
-        side = side.where(F.col("_dim_key").isNotNull()).withColumn("_dim_absent", F.lit(False))
+        side = side.withColumn("_dim_absent", F.lit(False))
         facts = facts.withColumn("_probe", probe).withColumn("_absent", absent)
         condition = (F.col("_probe") == F.col("_dim_key")) & (F.col("_absent") == F.col("_dim_absent"))
     else:

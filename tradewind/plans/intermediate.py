@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tradewind.functions import classify, money, temporal
 from tradewind.operators.aggregates import commonest
-from tradewind.operators.joins import lookup
+from tradewind.operators.joins import keyed, lookup
 
 CUSTOMER_CONTEXT = {
     "full_name": "customer_full_name",
@@ -25,8 +25,8 @@ def sold_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
     Lines of unknown or rejected orders vanish. The result is partitioned by order, which the
     order-level aggregations downstream reuse.
     """
-    order = orders.select(
-        F.col("order_id").alias("_order"), "customer_id", "order_status", "payment_method",
+    order = keyed(orders, "order_id", "_order").select(
+        "_order", "customer_id", "order_status", "payment_method",
         "order_date", "shipped_date", "delivered_date", "days_to_ship",
     )
     quantity, price, net = F.col("quantity"), F.col("unit_price"), F.col("effective_unit_price")
