@@ -23,6 +23,7 @@ class Register:
             return rendered(query(configure(spark), folder))
 
         run.__name__, run.__doc__ = name, query.__doc__
+        run.plain = query  # the result in its own types
         self.entries[name] = (run, sql(text, extra) if text else None)
 
     def query(self, name: str, text: str | None = None, extra: dict[str, str] | None = None):

@@ -147,14 +147,15 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
     quantity = "cast(l_quantity as decimal(10,0))"
     price = f"cast(round(cast(l_extendedprice as decimal(12,2)) / {quantity}, 2) as decimal(12,2))"
     rate = "cast(l_discount as decimal(12,4))"
-    return read(spark, folder, "lineitem").selectExpr(
+    priced = read(spark, folder, "lineitem").selectExpr("*", f"{price} as price")
+    return priced.selectExpr(
         "concat(cast(l_orderkey as string), '-', cast(l_linenumber as string)) as order_item_id",
         "cast(l_orderkey as string) as order_id",
         "cast(l_partkey as string) as product_id",
         "cast(l_quantity as int) as quantity",
-        f"{price} as unit_price",
+        "price as unit_price",
         f"if(l_discount = 0, null, {rate}) as discount",
-        f"cast(round({quantity} * {price} * (1 - {rate}), 2) as decimal(12,2)) as subtotal",
+        f"cast(round({quantity} * price * (1 - {rate}), 2) as decimal(12,2)) as subtotal",
         "cast(l_shipdate as timestamp) as created_at",
         "cast(l_shipdate as timestamp) as _ingested_at",
     )
