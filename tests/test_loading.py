@@ -68,6 +68,14 @@ def test_repeated_date_replaces_itself(spark, tmp_path):
     assert report["within_tolerance"]
 
 
+def test_repeating_a_date_without_rows_empties_it(spark, tmp_path):
+    where = layout(tmp_path)
+    load_dated(spark, spark.range(5), "t", where, D1)
+    load_dated(spark, spark.range(2), "t", where, D2)
+    assert load_dated(spark, spark.range(0), "t", where, D1).count() == 0
+    assert spark.read.parquet(where.table).count() == 2
+
+
 def test_failed_gate_leaves_the_table_alone(spark, tmp_path):
     where = layout(tmp_path)
     load_dated(spark, spark.range(1, 5), "t", where, D1)

@@ -57,6 +57,15 @@ def test_sources_prune_columns_and_push_filters(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(created_at), GreaterThan(created_at,1994-03-01" in plan
 
 
+def test_typed_times_are_pushed_down(spark, tmp_path):
+    from tradewind.plans.staging import stg_orders_history
+
+    sinks.write_parquet(sinks.align(RAW["orders_history"](spark, SMALL), registry.SOURCES["orders_history"].schema,
+                                    strict=False), f"{tmp_path}/orders_history")
+    plan = plan_of(stg_orders_history(registry.read_source(spark, str(tmp_path), "orders_history")))
+    assert "PushedFilters: [IsNotNull(order_id), IsNotNull(order_date), IsNotNull(created_at)]" in plan
+
+
 def test_latest_row_prunes_when_loads_cannot_repeat_a_key(spark):
     events = spark.read.parquet(f"{SMALL}/events.parquet")
     plan = plan_of(keep_latest(events, "event_id", "ts", ties=()).select("event_id", "value"))

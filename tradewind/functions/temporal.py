@@ -8,8 +8,9 @@ ISO_PATTERN = "yyyy-MM-dd'T'HH:mm:ssxxx"
 
 
 def parse_time(name: str) -> Column:
-    """Text (or timestamp) to timestamp; anything unreadable becomes NULL instead of an error."""
-    return F.try_to_timestamp(F.col(name).cast("string"))
+    """Text to timestamp; anything unreadable becomes NULL instead of an error. A column that is a
+    timestamp already stays as it is, so filters on it still reach the scan."""
+    return F.col(name).try_cast("timestamp")
 
 
 def iso_text(time: Column) -> Column:

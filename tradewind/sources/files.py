@@ -28,15 +28,12 @@ def read_files(spark: SparkSession, paths: str | Sequence[str], schema: StructTy
     Without ``schema`` the schemas of all files are merged, which reads every footer; pass one for
     large folders.
     """
+    if not paths or (isinstance(paths, str) and list_files(spark, paths).isEmpty()):
+        raise FileNotFoundError(f"no Parquet files to read: {paths}")
     paths = [paths] if isinstance(paths, str) else list(paths)
-    if not paths:
-        raise FileNotFoundError("no files to read")
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
     reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")
-    rows = reader.parquet(*paths)
-    if not rows.inputFiles():
-        raise FileNotFoundError(f"no Parquet files below {paths}")
-    return rows
+    return reader.parquet(*paths)
 
 
 def read_partition(spark: SparkSession, base: str, run_date: str) -> DataFrame:

@@ -15,7 +15,14 @@ def write_parquet(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def replace_partition(rows: DataFrame, base: str, column: str, value) -> None:
-    """Write the rows as one partition; a repeated run replaces it and leaves the others alone."""
+    """Write the rows as one partition; a repeated run replaces it and leaves the others alone.
+
+    The old partition stays in place until the new one is complete. Without rows there is nothing
+    to swap in, so an empty partition is written in its place.
+    """
+    if rows.isEmpty():
+        rows.limit(0).coalesce(1).write.mode("overwrite").parquet(f"{base}/{column}={value}")
+        return
     (
         rows.withColumn(column, F.lit(value))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
