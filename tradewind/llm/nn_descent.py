@@ -2,8 +2,10 @@
 
 The graph starts from leaves of random-hyperplane trees (shaped by a bounded sample) and is improved by joins of
 neighbours with neighbours: every point gathers the points it links to and, up to `reverse` of them by a hash,
-those that link to it; all of these are compared with each other, and each learns of the best it met. A query
-starts from its own point's links and expands the best points it knows that are not expanded yet, join by join.
+those that link to it; all of these are compared with each other, and each learns of the best it met that are
+nearer than the worst it knows. Graph and walk use one byte a component. A query
+starts from its own point's links and expands the best points it knows that are not expanded yet, join by join;
+the best it found are scored by their original vectors.
 Every point is indexed and every query is answered; the sample sizes (links, reverse links, beam) are the
 parameters of the approximation, and recall against brute force is tested.
 
@@ -18,13 +20,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import materialize, shared
-from tradewind.llm.vectors import best, matrix, points, spread, usable, with_point
+from tradewind.llm.vectors import matrix, points, spread, usable, with_point
 
 LINKS = 32      # of a point
 REVERSE = 32    # points that link to a point, in one round
@@ -36,6 +37,8 @@ MET = 12        # new neighbours a point learns of in one meeting
 BEAM = 48       # points that a query expands in one step
 WIDTH = 192     # points that a query remembers
 STEPS = 4
+RESCORED = 6    # times k points are scored by their original vectors
+PART = 200_000  # links or members handled together, about
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -83,43 +86,86 @@ class Tree:
         return out
 
 
-LINK_TABLE = "point bigint, near array<bigint>, scores array<double>"
+LINK_TABLE = "part bigint, point bigint, near bigint, score float"
 
 
-def link_table(point: np.ndarray, rows: np.ndarray, near: np.ndarray, scores: np.ndarray) -> pa.Table:
-    """One row for each point; `rows` (ascending) says whose link each is."""
-    cuts = pa.array(np.searchsorted(rows, np.arange(len(point) + 1)), pa.int32())
-    return pa.table([pa.array(point), pa.ListArray.from_arrays(cuts, pa.array(near)),
-                     pa.ListArray.from_arrays(cuts, pa.array(scores))], names=["point", "near", "scores"])
+def code(vectors: np.ndarray) -> pa.Array:
+    """Unit vectors in one byte a component, for building and walking the graph."""
+    return pa.array([row.tobytes() for row in np.rint(unit(vectors) * 127).astype(np.int8)], pa.binary())
 
 
-def meet(point: np.ndarray, vectors: np.ndarray, many: int) -> pa.Table:
-    """The `many` nearest of each other point in a gathering."""
-    scores = vectors @ vectors.T
-    np.fill_diagonal(scores, -np.inf)
-    row, column = best(scores, point, min(many, max(len(point) - 1, 1)))
-    good = row != column
-    row, column = row[good], column[good]
-    return link_table(point, row, point[column], scores[row, column])
+def decoded(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.int8).reshape(-1, width).astype(np.float32) / 127
+
 
+def links(point: np.ndarray, near: np.ndarray, score: np.ndarray, parts: int) -> pa.Table:
+    return pa.table([pa.array(point % parts), pa.array(point), pa.array(near), pa.array(score.astype(np.float32))],
+                    names=["part", "point", "near", "score"])
 
-def merged(lists: DataFrame, many: int) -> DataFrame:
-    """The `many` best different links of each point, from several lists."""
 
-    def run(series: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for near, scores in series:
-            kept = []
-            for ids, values in zip(near, scores, strict=True):
-                ids, values = np.concatenate(list(ids)), np.concatenate(list(values))
-                ids, first = np.unique(ids, return_index=True)
-                values = values[first]
-                order = np.lexsort((ids, -values))[:many]
-                kept.append((ids[order], values[order]))
-            yield pd.DataFrame({"near": [k[0] for k in kept], "scores": [k[1] for k in kept]})
+def merge(many: int):
+    """The `many` best different links of each point of a part."""
 
-    merge = F.pandas_udf(run, "near array<bigint>, scores array<double>")
-    return (lists.groupBy("point").agg(F.collect_list("near").alias("a"), F.collect_list("scores").alias("b"))
-            .select("point", merge("a", "b").alias("m")).select("point", "m.near", "m.scores"))
+    def run(table: pa.Table) -> pa.Table:
+        point, near, score = (table.column(name).to_numpy() for name in ("point", "near", "score"))
+        order = np.lexsort((near, -score, point))
+        point, near, score = point[order], near[order], score[order]
+        new = np.ones(len(point), bool)  # a link met twice has one score, so its copies are neighbours
+        new[1:] = (point[1:] != point[:-1]) | (near[1:] != near[:-1])
+        point, near, score = point[new], near[new], score[new]
+        heads = np.flatnonzero(np.concatenate([[True], point[1:] != point[:-1]]))
+        sizes = np.diff(np.append(heads, len(point)))
+        kept = np.arange(len(point)) - np.repeat(heads, sizes) < many
+        cuts = pa.array(np.concatenate([[0], np.cumsum(np.minimum(sizes, many))]), pa.int32())
+        return pa.table([pa.array(point[heads]), pa.ListArray.from_arrays(cuts, pa.array(near[kept])),
+                         pa.ListArray.from_arrays(cuts, pa.array(score[kept]))], names=["point", "near", "scores"])
+
+    return run
+
+
+def meet_all(point: np.ndarray, vectors: np.ndarray, many: int) -> tuple[np.ndarray, ...]:
+    """The `many` nearest of each point among all others: point, near, score."""
+    order = np.argsort(point, kind="stable")
+    point, vectors = point[order], vectors[order]
+    scores = vectors @ vectors.T
+    np.fill_diagonal(scores, -np.inf)
+    many = min(many, len(point) - 1)
+    if many < 1:
+        return point[:0], point[:0], np.zeros(0, np.float32)
+    column = np.argpartition(-scores, many - 1, axis=1)[:, :many]
+    return np.repeat(point, many), point[column].ravel(), np.take_along_axis(scores, column, 1).ravel()
+
+
+def meet_many(centre: np.ndarray, point: np.ndarray, worst: np.ndarray, vectors: np.ndarray,
+              many: int) -> tuple[np.ndarray, ...]:
+    """What each point of each gathering learns: up to `many` others nearer than the worst it links to."""
+    order = np.lexsort((point, centre))
+    centre, point = centre[order], point[order]
+    keep = np.ones(len(order), bool)
+    keep[1:] = (centre[1:] != centre[:-1]) | (point[1:] != point[:-1])
+    order, centre, point = order[keep], centre[keep], point[keep]
+    worst, vectors = worst[order], vectors[order]
+    heads = np.flatnonzero(np.concatenate([[True], centre[1:] != centre[:-1]]))
+    sizes = np.diff(np.append(heads, len(centre)))
+    width, out = int(sizes.max()), []
+    for low in range(0, len(heads), 128):
+        at = heads[low:low + 128, None] + np.arange(width)
+        live = np.arange(width) < sizes[low:low + 128, None]
+        at = np.where(live, at, 0)
+        own = vectors[at]
+        scores = own @ own.transpose(0, 2, 1)
+        scores[~np.broadcast_to(live[:, None, :], scores.shape)] = -np.inf
+        scores[:, np.arange(width), np.arange(width)] = -np.inf
+        few = min(many, width - 1)
+        if few < 1:
+            continue
+        column = np.argpartition(-scores, few - 1, axis=2)[:, :, :few]
+        found = np.take_along_axis(scores, column, 2)
+        better = (found > worst[at][:, :, None]) & live[:, :, None]
+        group, row, nth = np.nonzero(better)
+        out.append((point[at[group, row]], point[at[group, column[group, row, nth]]], found[group, row, nth]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (
+        point[:0], point[:0], np.zeros(0, np.float32))
 
 
 def backward(graph: DataFrame) -> DataFrame:
@@ -136,8 +182,8 @@ def both_ways(graph: DataFrame) -> DataFrame:
         "point", F.array_union("near", F.coalesce("back", F.array().cast("array<bigint>"))).alias("near")), "adjacent")
 
 
-def build(sources: DataFrame, total: int, width: int) -> DataFrame:
-    """The graph of (point, v): point, near, scores."""
+def build(sources: DataFrame, total: int, width: int) -> tuple[DataFrame, DataFrame]:
+    """The graph of (point, v) as point, near, scores (best first), and (point, code)."""
     spark = sources.sparkSession
     chosen = sources.orderBy(F.xxhash64("point"), "point").select("v").limit(SAMPLE).collect()
     sample = np.zeros((len(chosen), width))
@@ -146,72 +192,108 @@ def build(sources: DataFrame, total: int, width: int) -> DataFrame:
     sample = unit(sample) if len(sample) else np.zeros((1, width))
     leaves = max(1, min(-(-total // LEAF), len(sample) // 8))
     trees_of = shared(spark, "trees", [Tree(sample, leaves, seed) for seed in range(TREES)])
+    merging = max(1, total * LINKS * 4 // PART)
+    meeting = max(1, total * (LINKS + REVERSE) // PART)
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("point"), code(matrix(batch.column("v"), width))],
+                                             names=["point", "code"])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = trees_of()
         for batch in batches:
-            vectors = unit(matrix(batch.column("v"), width))
+            vectors = decoded(batch.column("code"), width)
             for i, tree in enumerate(trees):
                 yield pa.RecordBatch.from_arrays([pa.array(tree.leaf(vectors) * len(trees) + i), batch.column("point"),
-                                                  batch.column("v")], names=["leaf", "point", "v"])
+                                                  batch.column("code")], names=["leaf", "point", "code"])
 
     def start(table: pa.Table) -> pa.Table:
-        vectors, point = unit(matrix(table.column("v"), width)), table.column("point").to_numpy()
+        vectors, point = decoded(table.column("code"), width), table.column("point").to_numpy()
+        order = np.argsort(point, kind="stable")
         # a leaf that the sample made too large is met in parts
-        parts = [meet(point[i:i + 4 * LEAF], vectors[i:i + 4 * LEAF], LINKS) for i in range(0, len(point), 4 * LEAF)]
-        return pa.concat_tables(parts)
+        return pa.concat_tables([links(*meet_all(point[order[i:i + 2 * LEAF]], vectors[order[i:i + 2 * LEAF]], LINKS), merging)
+                                 for i in range(0, len(point), 2 * LEAF)])
 
     def gather(table: pa.Table) -> pa.Table:
-        vectors, point = unit(matrix(table.column("v"), width)), table.column("point").to_numpy()
-        point, first = np.unique(point, return_index=True)
-        return meet(point, vectors[first], MET)
-
-    dealt = sources.select("point", "v").mapInArrow(deal, "leaf bigint, point bigint, v array<float>")
-    graph = materialize(merged(dealt.groupBy("leaf").applyInArrow(start, LINK_TABLE), LINKS), "graph")
+        centre, point, worst = (table.column(name).to_numpy() for name in ("centre", "member", "worst"))
+        return links(*meet_many(centre, point, worst, decoded(table.column("code"), width), MET), merging)
+
+    codes = materialize(sources.select("point", "v").mapInArrow(coded, "point bigint, code binary"), "codes")
+    dealt = codes.mapInArrow(deal, "leaf bigint, point bigint, code binary")
+    listed = "point bigint, near array<bigint>, scores array<float>"
+    graph = materialize(dealt.groupBy("leaf").applyInArrow(start, LINK_TABLE).groupBy("part")
+                        .applyInArrow(merge(LINKS), listed), "graph")
     for _ in range(ROUNDS):
         members = graph.select(F.col("point").alias("centre"), F.explode("near").alias("member")).unionByName(
-            backward(graph)).unionByName(graph.select(F.col("point").alias("centre"), F.col("point").alias("member")))
-        met = (members.join(sources.select(F.col("point").alias("member"), "v"), "member")
-               .select("centre", F.col("member").alias("point"), "v").groupBy("centre").applyInArrow(gather, LINK_TABLE))
-        graph = materialize(merged(met.unionByName(graph), LINKS), "graph")
-    return graph
+            backward(graph)).unionByName(codes.select(F.col("point").alias("centre"), F.col("point").alias("member")))
+        worst = F.when(F.size("scores") < LINKS, F.lit(-2.0)).otherwise(F.element_at("scores", -1)).cast("float")
+        known = (codes.join(graph.select("point", worst.alias("worst")), "point", "left")
+                 .select(F.col("point").alias("member"), "code", F.coalesce("worst", F.lit(-2.0).cast("float")).alias("worst")))
+        met = (members.join(known, "member").withColumn("group", F.pmod(F.xxhash64("centre"), F.lit(meeting)))
+               .groupBy("group").applyInArrow(gather, LINK_TABLE))
+        before = graph.select(F.pmod("point", F.lit(merging)).alias("part"), "point",
+                              F.explode(F.arrays_zip("near", "scores")).alias("m")).select(
+            "part", "point", "m.near", F.col("m.scores").alias("score"))
+        graph = materialize(met.unionByName(before).groupBy("part").applyInArrow(merge(LINKS), listed), "graph")
+    return graph, codes
 
 
-def search(graph: DataFrame, sources: DataFrame, asked: DataFrame, width: int, k: int) -> DataFrame:
-    """query, point, score: the k best points of each query point, from its own links on. `asked`: (point, v)."""
-    adjacent = both_ways(graph)
-    pool = asked.join(graph, "point").select(
-        F.col("point").alias("query"), F.concat(F.array("point"), "near").alias("near"),
-        F.concat(F.array(F.lit(1.0).cast("double")), "scores").alias("scores"), F.array("point").alias("done"))
-    seen = asked.select("point", "v")
+POOL = "query bigint, code binary, near array<bigint>, scores array<float>, done array<bigint>, turn array<bigint>"
 
-    def score(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in frames:
-            a, b = (unit(matrix(batch.column(name), width)) for name in ("v", "w"))
-            yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("other"), pa.array((a * b).sum(1))],
-                                             names=["query", "other", "score"])
 
+def search(graph: DataFrame, codes: DataFrame, asked: DataFrame, width: int) -> DataFrame:
+    """query, near: the points that the walk from each query point's own links found, best first. asked: (point)."""
+    adjacent = both_ways(graph)
+
+    def step(reached: pa.Table, pool: pa.Table) -> pa.Table:
+        own = pool.to_pylist()[0]
+        near, scores = np.array(own["near"], np.int64), np.array(own["scores"], np.float32)
+        if reached.num_rows:
+            others = reached.column("other").to_numpy()
+            new = ~np.isin(others, near)
+            found = decoded(reached.column("code"), width)[new] @ (np.frombuffer(own["code"], np.int8).astype(np.float32) / 127)
+            near, scores = np.concatenate([near, others[new]]), np.concatenate([scores, found])
+        order = np.lexsort((near, -scores))[:WIDTH]
+        near, scores = near[order], scores[order]
+        done = [*own["done"], *own["turn"]]
+        turn = near[~np.isin(near, done)][:BEAM]
+        row = {"query": own["asker"], "code": own["code"], "near": near.tolist(), "scores": scores.tolist(),
+               "done": done, "turn": turn.tolist()}
+        return pa.Table.from_pylist([row], pa.schema([
+            ("query", pa.int64()), ("code", pa.binary()), ("near", pa.list_(pa.int64())), ("scores", pa.list_(pa.float32())),
+            ("done", pa.list_(pa.int64())), ("turn", pa.list_(pa.int64()))]))
+
+    empty = F.array().cast("array<bigint>")
+    pool = (asked.join(codes, "point").join(graph, "point", "left").select(
+        F.col("point").alias("query"), "code", F.concat(F.array("point"), F.coalesce("near", empty)).alias("near"),
+        F.concat(F.array(F.lit(1.0).cast("float")), F.coalesce("scores", F.array().cast("array<float>"))).alias("scores"),
+        F.array("point").alias("done"), F.slice(F.coalesce("near", empty), 1, BEAM).alias("turn")))
     for _ in range(STEPS):
         pool = materialize(pool, "pool")
-        # the best points that are not expanded yet
-        open_points = F.filter("near", lambda x: ~F.array_contains("done", x))
-        turn = pool.withColumn("turn", F.slice(open_points, 1, BEAM))
-        opened = turn.select("query", F.explode("turn").alias("point"))
-        reached = (opened.join(adjacent, "point").select("query", F.explode("near").alias("other"))
-                   .distinct())
-        known = pool.select("query", F.explode("near").alias("other"))
-        fresh = reached.join(known, ["query", "other"], "left_anti")
-        scored = (fresh.join(seen.select(F.col("point").alias("query"), "v"), "query")
-                  .join(sources.select(F.col("point").alias("other"), F.col("v").alias("w")), "other")
-                  .select("query", "other", "v", "w").mapInArrow(score, "query bigint, other bigint, score double"))
-        lists = (scored.groupBy(F.col("query").alias("point"))
-                 .agg(F.collect_list(F.struct("other", "score")).alias("m"))
-                 .select("point", F.col("m.other").alias("near"), F.col("m.score").alias("scores")))
-        after = merged(lists.unionByName(pool.select(F.col("query").alias("point"), "near", "scores")), WIDTH)
-        pool = (turn.select("query", F.concat("done", "turn").alias("done"))
-                .join(after.withColumnRenamed("point", "query"), "query").select("query", "near", "scores", "done"))
-    return (pool.select("query", F.explode(F.slice(F.arrays_zip("near", "scores"), 1, k)).alias("m"))
-            .select("query", F.col("m.near").alias("point"), F.col("m.scores").alias("score")))
+        opened = pool.select("query", F.explode("turn").alias("point")).join(adjacent, "point")
+        reached = (opened.groupBy("query").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("others"))
+                   .select("query", F.explode("others").alias("other")))
+        coded = reached.join(codes.select(F.col("point").alias("other"), "code"), "other")
+        pool = coded.groupBy("query").cogroup(pool.withColumnRenamed("query", "asker").groupBy("asker")).applyInArrow(step, POOL)
+    return pool.select("query", "near")
+
+
+def exact(found: DataFrame, sources: DataFrame, width: int, k: int) -> DataFrame:
+    """query, point, score: the k best points by the cosine of the original vectors."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (unit(matrix(batch.column(name), width)) for name in ("v", "w"))
+            yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("point"), pa.array((a * b).sum(1))],
+                                             names=["query", "point", "score"])
+
+    pairs = found.select("query", F.explode(F.slice("near", 1, RESCORED * k)).alias("point"))
+    scored = (pairs.join(sources.select(F.col("point").alias("query"), "v"), "query")
+              .join(sources.select("point", F.col("v").alias("w")), "point")
+              .select("query", "point", "v", "w").mapInArrow(score, "query bigint, point bigint, score double"))
+    first = Window.partitionBy("query").orderBy(F.desc("score"), "point")
+    return scored.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k).drop("n")
 
 
 def nearest(rows: DataFrame, k: int = 5, every: int = 50, vector: str = "embedding") -> DataFrame:
@@ -222,8 +304,8 @@ def nearest(rows: DataFrame, k: int = 5, every: int = 50, vector: str = "embeddi
     sources = materialize(points(named.select("vec_id", "v"), k + 1), "points")
     size = sources.agg(F.count("*"), F.max(F.size("v"))).first()
     total, width = size[0], size[1] or 1
-    graph = build(sources, total, width)
+    graph, codes = build(sources, total, width)
     asked = named.where(F.col("vec_id") % every == 0).select("vec_id", "point")
-    query_points = sources.join(asked.select("point").distinct(), "point", "left_semi").select("point", "v")
-    found = materialize(search(graph, sources, query_points, width, k + 1), "found")
+    walked = search(graph, codes, asked.select("point").distinct(), width)
+    found = materialize(exact(walked, sources, width, k + 1), "found")
     return spread(found, asked, sources, k)
