@@ -86,7 +86,7 @@ class Tree:
         return out
 
 
-LINK_TABLE = "part bigint, point bigint, near bigint, score float"
+LINK_TABLE = "part bigint, point binary, near binary, score binary"
 
 
 def code(vectors: np.ndarray) -> pa.Array:
@@ -99,7 +99,13 @@ def decoded(column: pa.ChunkedArray, width: int) -> np.ndarray:
 
 
 def links(point: np.ndarray, near: np.ndarray, score: np.ndarray, parts: int) -> pa.Table:
-    return pa.table([pa.array(point % parts), pa.array(point), pa.array(near), pa.array(score.astype(np.float32))],
+    """Packed by part: one row for each part that has links."""
+    part = point % parts
+    order = np.argsort(part, kind="stable")
+    cuts = np.flatnonzero(np.diff(part[order])) + 1
+    own = [o for o in np.split(order, cuts) if len(o)]
+    return pa.table([pa.array([int(part[o[0]]) for o in own], pa.int64()),
+                     *(pa.array([x[o].tobytes() for o in own], pa.binary()) for x in (point, near, score.astype("<f4")))],
                     names=["part", "point", "near", "score"])
 
 
@@ -107,7 +113,8 @@ def merge(many: int):
     """The `many` best different links of each point of a part."""
 
     def run(table: pa.Table) -> pa.Table:
-        point, near, score = (table.column(name).to_numpy() for name in ("point", "near", "score"))
+        point, near, score = (np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+                              for name, kind in (("point", "<i8"), ("near", "<i8"), ("score", "<f4")))
         order = np.lexsort((near, -score, point))
         point, near, score = point[order], near[order], score[order]
         new = np.ones(len(point), bool)  # a link met twice has one score, so its copies are neighbours
@@ -219,6 +226,12 @@ def build(sources: DataFrame, total: int, width: int) -> tuple[DataFrame, DataFr
         centre, point, worst = (table.column(name).to_numpy() for name in ("centre", "member", "worst"))
         return links(*meet_many(centre, point, worst, decoded(table.column("code"), width), MET), merging)
 
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near, scores = batch.column("near"), batch.column("scores")
+            point = np.repeat(batch.column("point").to_numpy(), np.diff(near.offsets.to_numpy()))
+            yield from links(point, near.flatten().to_numpy(), scores.flatten().to_numpy(), merging).to_batches()
+
     codes = materialize(sources.select("point", "v").mapInArrow(coded, "point bigint, code binary"), "codes")
     dealt = codes.mapInArrow(deal, "leaf bigint, point bigint, code binary")
     listed = "point bigint, near array<bigint>, scores array<float>"
@@ -232,9 +245,7 @@ def build(sources: DataFrame, total: int, width: int) -> tuple[DataFrame, DataFr
                  .select(F.col("point").alias("member"), "code", F.coalesce("worst", F.lit(-2.0).cast("float")).alias("worst")))
         met = (members.join(known, "member").withColumn("group", F.pmod(F.xxhash64("centre"), F.lit(meeting)))
                .groupBy("group").applyInArrow(gather, LINK_TABLE))
-        before = graph.select(F.pmod("point", F.lit(merging)).alias("part"), "point",
-                              F.explode(F.arrays_zip("near", "scores")).alias("m")).select(
-            "part", "point", "m.near", F.col("m.scores").alias("score"))
+        before = graph.mapInArrow(held, LINK_TABLE)
         graph = materialize(met.unionByName(before).groupBy("part").applyInArrow(merge(LINKS), listed), "graph")
     return graph, codes
 
