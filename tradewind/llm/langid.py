@@ -29,7 +29,7 @@ from tradewind.llm.common import shared
 
 TRAIN = 4000       # labelled rows that the model learns from, at most
 BUCKETS = 1 << 16
-WIDTHS = (1, 2, 3)
+WIDTHS = (2, 3)
 FLOOR = -6.0       # a word counts this much against a language at most
 SWITCH = 12.0      # penalty of a switch
 RARE = 0.001       # a language uses a script that has at least this share of its words
@@ -60,13 +60,18 @@ class Model:
     table: np.ndarray                                 # log of the share of a bucket under each language
     scripts: dict[str, np.ndarray] = field(default_factory=dict)  # whether a language uses the script
 
-    def scores(self, word: str) -> np.ndarray:
-        known = self.scripts.get(script_of(word))
-        if known is None:
-            return np.zeros(len(self.languages), np.float32)
-        total = self.table[features(word)].sum(0)
+    def scores(self, words: list[str]) -> np.ndarray:
+        """One row for each word; a word in a script that no language uses is no evidence."""
+        grams = [features(word) for word in words]
+        sizes = np.fromiter(map(len, grams), np.int64, len(grams))
+        flat = np.fromiter((g for own in grams for g in own), np.int64, sizes.sum())
+        total = np.add.reduceat(self.table[flat], np.cumsum(sizes) - sizes)
+        none = np.ones(len(self.languages), bool)
+        known = np.stack([self.scripts.get(script_of(word), none) for word in words])
         total = np.where(known, total, -np.inf)
-        return np.maximum(total - total.max(), FLOOR).astype(np.float32)
+        total = np.maximum(total - total.max(1, keepdims=True), FLOOR)
+        total[[script_of(word) not in self.scripts for word in words]] = 0
+        return total
 
 
 class Words(dict):
@@ -74,15 +79,26 @@ class Words(dict):
 
     def __init__(self, model: Model):
         super().__init__()
-        self.model, self.rows = model, np.zeros((1024, len(model.languages)), np.float32)
+        self.model, self.new = model, []
+        self.rows = np.zeros((1024, len(model.languages)), np.float32)
 
     def __missing__(self, word: str) -> int:
         at = self[word] = len(self)
-        if at == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        self.rows[at] = self.model.scores(word)
+        self.new.append(word)
         return at
 
+    def of(self, words: list[str]) -> np.ndarray:
+        """Scores of the words of a text; those not met before are scored together."""
+        if len(self) > CACHE:
+            self.clear()
+        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if self.new:
+            while len(self) > len(self.rows):
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            self.rows[len(self) - len(self.new):len(self)] = self.model.scores(self.new)
+            self.new = []
+        return self.rows[at]
+
 
 def best_path(scores: np.ndarray, penalty: float) -> np.ndarray:
     """The language of every word on the best path."""
@@ -115,10 +131,7 @@ def label(text: str, words: Words, penalty: float = SWITCH, spans: bool = True):
     found = LETTERS.findall(text.lower()) if model.languages else []
     if not found:
         return UNKNOWN, 0.0, []
-    at = np.fromiter(map(words.__getitem__, found), np.int64, len(found))
-    path = best_path(words.rows[at], penalty)
-    if len(words) > CACHE:
-        words.clear()
+    path = best_path(words.of(found), penalty)
     letters = np.fromiter(map(len, found), np.int64, len(found))
     share = np.bincount(path, letters, len(model.languages))
     best = int(share.argmax())
