@@ -53,14 +53,27 @@ class Words(dict):
 
     def __init__(self, model: Model):
         super().__init__()
-        self.model, self.sums, self.sizes = model, np.zeros(1024), np.zeros(1024)
+        self.model, self.sums, self.sizes, self.new = model, np.zeros(1024), np.zeros(1024), []
 
     def __missing__(self, word: str) -> int:
         at = self[word] = len(self)
-        if at == len(self.sums):
-            self.sums, self.sizes = np.tile(self.sums, 2), np.tile(self.sizes, 2)
-        own = features(word)
-        self.sums[at], self.sizes[at] = self.model.weights[own].sum(), len(own)
+        self.new.append(word)
+        return at
+
+    def of(self, words: list[str]) -> np.ndarray:
+        """Row numbers of the words of a text; those not met before are summed up together."""
+        if len(self) > CACHE:
+            self.clear()
+        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if self.new:
+            while len(self) > len(self.sums):
+                self.sums, self.sizes = np.tile(self.sums, 2), np.tile(self.sizes, 2)
+            grams = [features(word) for word in self.new]
+            sizes = np.fromiter(map(len, grams), np.int64, len(grams))
+            flat = np.fromiter((g for own in grams for g in own), np.int64, sizes.sum())
+            rows = slice(len(self) - len(grams), len(self))
+            self.sums[rows] = np.add.reduceat(self.model.weights[flat], np.cumsum(sizes) - sizes)
+            self.sizes[rows], self.new = sizes, []
         return at
 
 
@@ -68,11 +81,9 @@ def score(text: str, words: Words) -> float:
     found = text.split()
     logit = words.model.bias
     if found:
-        at = np.fromiter(map(words.__getitem__, found), np.int64, len(found))
+        at = words.of(found)
         same = SAME_WEIGHT * int((at[1:] == at[:-1]).sum())
         logit += (words.sums[at].sum() + same * words.model.weights[SAME]) / (words.sizes[at].sum() + same)
-        if len(words) > CACHE:
-            words.clear()
     return float(1 / (1 + np.exp(-np.clip(logit, -50, 50))))
 
 
@@ -114,11 +125,12 @@ def descend(bags: list[tuple[np.ndarray, np.ndarray]], classes: np.ndarray, seed
     return Model((vectors @ (output[:, 1] - output[:, 0])).astype(np.float64), float(bias[1] - bias[0]))
 
 
-def train(rows: DataFrame, at_most: int = TRAIN) -> Model:
-    """From rows with doc_id, text and quality (0 or 1); null labels teach nothing."""
-    known = rows.where("quality in (0, 1) and doc_id is not null")
-    chosen = known.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(at_most)
-    sample = known.select("doc_id", "text", "quality").join(F.broadcast(chosen), "doc_id")
+def train(docs: DataFrame, labels: DataFrame, at_most: int = TRAIN) -> Model:
+    """From documents with a label (doc_id, quality 0 or 1); null labels teach nothing. The labels chosen are
+    at most `at_most` rows and are sent to all tasks, so texts are not shuffled."""
+    known = labels.where("quality in (0, 1) and doc_id is not null").select("doc_id", F.col("quality").cast("int")).distinct()
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(at_most)
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality")
 
     def bags(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -127,7 +139,7 @@ def train(rows: DataFrame, at_most: int = TRAIN) -> Model:
                                 "buckets": [b.astype("<u4").tobytes() for b, _ in made],
                                 "shares": [s.astype("<f4").tobytes() for _, s in made]})
 
-    kind = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, quality int, buckets binary, shares binary"
+    kind = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, quality int, buckets binary, shares binary"
     found = sample.mapInPandas(bags, kind).toPandas().sort_values(["doc_id", "quality"], kind="stable")
     if found.empty:
         return Model(np.zeros(BUCKETS), 0.0)

@@ -59,8 +59,7 @@ def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    labels = table(spark, folder, "labels").select("doc_id", "quality").distinct()
-    model = quality.train(docs.join(labels.where(fold("doc_id", 3) != 1), "doc_id"))
+    model = quality.train(docs, table(spark, folder, "labels").where(fold("doc_id", 3) != 1))
     scored = quality.rate(docs, model)
     return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score",
                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
