@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,15 +34,11 @@ def build_session(app_name: str = "tradewind", master: str | None = None, **sett
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    root = tempfile.mkdtemp(prefix="tradewind-")
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    """Folder every executor can reach: the one the cluster names in ``spark.checkpoint.dir``, else one
+    beside the session's tables."""
+    root = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+            or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared")
+    return root.rstrip("/")
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
