@@ -99,6 +99,14 @@ def test_repeated_batch_replaces_itself(spark, tmp_path):
     assert counted == {0: (5, 12, 7), 1: (12, 12, 0)}
 
 
+def test_repeated_batch_moves_when_judged_differently(spark, tmp_path):
+    good, bad = f"{tmp_path}/good", f"{tmp_path}/bad"
+    rows = spark.createDataFrame([(None,), ("a",)], "event_id string")
+    gate.gated_batch("t", [], good, bad)(rows, 0)
+    gate.gated_batch("t", CHECKS, good, bad)(rows, 0)
+    assert (spark.read.parquet(good).count(), spark.read.parquet(bad).count()) == (0, 2)
+
+
 def test_audit(spark):
     report = versions.audit(spark.range(4), "t").first()
     assert (report["row_count"], report["column_count"], report["schema_text"]) == (4, 1, "struct<id:bigint>")
