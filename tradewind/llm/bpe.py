@@ -233,7 +233,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text",
 
 def decode(df: DataFrame, ranks_path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """All columns of `df` and the bytes of its ids; null ids give no bytes. Unknown ids are an error."""
-    tokens_of = shared(df.sparkSession, "tokens", read_ranks(ranks_path))
+    tokens_of = shared(df.sparkSession, "bpe tokens", read_ranks(ranks_path))
 
     def run(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokens = tokens_of()

@@ -35,14 +35,20 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
 
 def shared(spark: SparkSession, kind: str, value, make: Callable = lambda value: value) -> Callable:
     """Broadcast a value of bounded size. The function returned gives workers what `make` derives from it,
-    once for each worker process; of each kind a process keeps the last one only."""
+    once for each worker process; of each kind a process keeps the last one only. A process outlives the
+    operator, which the first word of `kind` names: what one operator remembers goes when the next one starts."""
     # classes go by value, as functions do
     sent, key = spark.sparkContext.broadcast(cloudpickle.dumps(value)), uuid.uuid4().hex
+    operator = kind.split()[0]
 
     def get():
         store = sys.modules.setdefault("_tradewind_llm", types.ModuleType("_tradewind_llm")).__dict__
-        if store.get(kind, ("",))[0] != key:
-            store[kind] = (key, make(pickle.loads(sent.value)))
-        return store[kind][1]
+        if store.get("operator") != operator:
+            store["operator"], store["kept"] = operator, {}
+        kept = store["kept"]
+        if kept.get(kind, ("",))[0] != key:
+            kept.pop(kind, None)
+            kept[kind] = (key, make(pickle.loads(sent.value)))
+        return kept[kind][1]
 
     return get
