@@ -191,13 +191,12 @@ def find_anchors(window: int, gram: int, many: int):
     def pack(held: list[dict]) -> Iterator[dict]:
         if not held:
             return
-        c = {name: np.concatenate([h[name] for h in held]) for name in held[0]}
+        c = {name: np.concatenate([h.pop(name) for h in held]) for name in list(held[0])}
         later, _, _ = smallest(c["doc"], c["gram"], c["around"])
         for made in run_rows(c["row"][later], c["lo"][later], c["extra"][later], many):
             yield {"bucket": -1 - made.pop("shelf"), "doc": b"", "around": b""} | {k: v for k, v in made.items() if k != "open"}
         c = {name: values[~later] for name, values in c.items()}
-        yield from packed("bucket", buckets(c["gram"], many), {
-            **c, "lo": c["lo"].astype("<u4"), "extra": c["extra"].astype("u1"), "lead": c["lead"].astype("u1")})
+        yield from packed("bucket", buckets(c["gram"], many), c)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -227,8 +226,9 @@ def find_anchors(window: int, gram: int, many: int):
                             np.concatenate([data[s:e] for s, e in zip(starts[at:end], ends[at:end], strict=True)]))
                     piece, grams, around, lo, extra, lead = anchors(part, begin, begin + lengths, window, gram)
                     own = owner[at:end][piece]
-                    held.append({"doc": doc[own], "row": row[own], "gram": grams, "around": around, "extra": extra,
-                                 "lo": lo - begin[piece] + starts[at:end][piece] - offsets[own], "lead": lead})
+                    place = lo - begin[piece] + starts[at:end][piece] - offsets[own]
+                    held.append({"doc": doc[own], "row": row[own], "gram": grams, "around": around, "lo": place.astype("<u4"),
+                                 "extra": extra.astype("u1"), "lead": lead.astype("u1")})
                     size += len(own)
                 at = end
                 if size >= HELD:
