@@ -1,3 +1,4 @@
+import time
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -145,6 +146,20 @@ def test_newest_file_breaks_ties_by_path(spark):
     assert files.newest_file(listing.limit(0)) is None
 
 
+def test_newest_extract_is_read_whole(spark, tmp_path):
+    for day, low in ((1, 0), (2, 100)):
+        spark.range(low, low + 100, numPartitions=4).write.parquet(f"{tmp_path}/x/run_date=2024-01-0{day}")
+    got = files.read_newest(spark, f"{tmp_path}/x")
+    assert sorted(r["id"] for r in got.collect()) == list(range(100, 200))
+
+
+def test_newest_file_in_the_root_is_an_extract(spark, tmp_path):
+    for low in (0, 5):
+        spark.range(low, low + 5, numPartitions=1).write.mode("append").parquet(f"{tmp_path}/flat")
+        time.sleep(1.1)  # a later modification time
+    assert sorted(r["id"] for r in files.read_newest(spark, f"{tmp_path}/flat").collect()) == [5, 6, 7, 8, 9]
+
+
 def topic_layout(tmp_path):
     return TopicLayout(*[f"{tmp_path}/{part}" for part in ("landed", "table", "rejects", "manifest")])
 
@@ -195,6 +210,16 @@ def test_gate_blocks_new_files(spark, tmp_path):
     assert state.manifest(spark, where.manifest).isEmpty()
 
 
+@pytest.mark.parametrize("size", [1, 10])
+def test_verdict_does_not_depend_on_slices(spark, tmp_path, size):
+    where = topic_layout(tmp_path)
+    for values in (("1", "2"), ("2", "3")):
+        land(spark, where, *values)
+    with pytest.raises(quality.QualityError):
+        load_new_files(spark, "t", where, SCHEMA, [quality.unique("id")], files_per_load=size)
+    assert state.manifest(spark, where.manifest).isEmpty()
+
+
 def test_insert_if_absent_keeps_what_is_there(spark):
     target = spark.createDataFrame([("a", 1)], "k string, v int")
     candidates = spark.createDataFrame([("a", 9), ("b", 7), ("b", 3), ("c", None)], "k string, v int")

@@ -26,28 +26,27 @@ def load_new_files(spark: SparkSession, topic: str, layout: TopicLayout, schema:
                    files_per_load: int = 10_000) -> int:
     """Load every landed file that no earlier load took; returns the number of loads made.
 
-    Files are taken oldest first in slices of ``files_per_load``, which bounds the list of paths
-    the driver holds; the loop goes on until none is left. Within a slice rows that do not convert
-    go to ``rejects`` with the reason, so a file counts as loaded only when all its rows are
-    accounted for. Table, rejects and manifest are written per load number: a repeated load
-    replaces its own partition and duplicates nothing.
+    All new files of a run are listed once and judged together, whatever their number: nothing is copied
+    unless all of them pass. ``files_per_load`` only splits the copy, oldest files first. Rows that do not
+    convert go to ``rejects`` with the reason, so a file counts as loaded only when all its rows are
+    accounted for. Table, rejects and manifest are written per load number: a repeated load replaces its own
+    partition and duplicates nothing. A run that dies between two parts of its copy is taken up by the next
+    one, which judges the files that are left.
     """
-    loads = 0
-    while True:
-        loaded = state.manifest(spark, layout.manifest)
-        todo = state.pending(list_files(spark, layout.landed), loaded)
-        paths = [row["path"] for row in todo.orderBy("modified", "path").limit(files_per_load).collect()]
-        if not paths:
-            return loads
-        load_id = state.next_load(loaded)
-        rows = read_files(spark, paths)
-        if checks:
-            require(evaluate(rows, topic, checks, parents), topic)
-        traced = rows.withColumn("_source_file", F.col("_metadata.file_path"))
+    loaded = state.manifest(spark, layout.manifest)
+    todo = state.pending(list_files(spark, layout.landed), loaded)
+    new = [row["path"] for row in todo.orderBy("modified", "path").collect()]
+    if new and checks:
+        require(evaluate(read_files(spark, new), topic, checks, parents), topic)
+    first = state.next_load(loaded)
+    starts = range(0, len(new), files_per_load)
+    for load_id, start in enumerate(starts, first):
+        paths = new[start:start + files_per_load]
+        traced = read_files(spark, paths).withColumn("_source_file", F.col("_metadata.file_path"))
         traced = traced.withColumn("_loaded_at", F.current_timestamp())
         good, rejected = sinks.split_loadable(traced, schema)
         sinks.replace_partition(good, layout.table, "load_id", load_id)
         sinks.replace_partition(rejected, layout.rejects, "load_id", load_id)
         state.mark_loaded(spark.createDataFrame([(path,) for path in paths], "path string"),
                           layout.manifest, load_id)
-        loads += 1
+    return len(starts)

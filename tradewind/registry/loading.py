@@ -88,7 +88,7 @@ def _(spark, folder):
 def _(spark, folder):
     base = fresh_folder(spark, "src05")
     for day, rows in loads(spark, folder, "customers"):
-        sinks.write_parquet(rows.coalesce(1), f"{base}/run_date={day}")
+        sinks.write_parquet(rows.repartition(4), f"{base}/run_date={day}")
     return files.read_newest(spark, base, schemas.CUSTOMERS).select("customer_id", "email")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -47,8 +48,16 @@ def newest_file(files: DataFrame) -> str | None:
     return row["latest"]["path"] if row["latest"] else None
 
 
+def _plain(path: str) -> str:
+    """A path without scheme and host."""
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path).rstrip("/")
+
+
 def read_newest(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
+    """All rows of the newest extract below ``root``: the files of the folder that holds the newest file.
+    A file that lies in ``root`` itself is an extract of its own."""
     path = newest_file(list_files(spark, root))
     if path is None:
         raise FileNotFoundError(f"no Parquet files below {root}")
-    return read_files(spark, path, schema)
+    folder = path.rsplit("/", 1)[0]
+    return read_files(spark, path if _plain(folder) == _plain(root) else folder, schema)
