@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import date, datetime
 
@@ -106,6 +107,9 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType, location:
 
 def insert_rows(spark: SparkSession, rows: DataFrame, table: str) -> None:
     """Append by name; columns the rows do not have take their default."""
-    rows.createOrReplaceTempView("_incoming")
-    names = ", ".join(f"`{name}`" for name in rows.columns)
-    spark.sql(f"INSERT INTO {table} ({names}) SELECT {names} FROM _incoming")
+    names, incoming = ", ".join(f"`{name}`" for name in rows.columns), f"incoming_{uuid.uuid4().hex}"
+    rows.createOrReplaceTempView(incoming)
+    try:
+        spark.sql(f"INSERT INTO {table} ({names}) SELECT {names} FROM {incoming}")
+    finally:
+        spark.catalog.dropTempView(incoming)
