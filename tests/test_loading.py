@@ -9,7 +9,9 @@ from samples import raw
 from tradewind import schemas
 from tradewind.operators import quality, upsert
 from tradewind.operators.ranking import sample_n, top_n
-from tradewind.plans.batch_load import Layout, extract_increment, load_dated, reconcile_load
+from tradewind.plans.batch_load import (
+    Layout, RowCountMismatch, extract_increment, load_dated, reconcile_load, require_reconciled,
+)
 from tradewind.plans.topic_load import TopicLayout, load_new_files
 from tradewind.sources import files, registry, sinks, state
 from tradewind.sources.extract import as_landed, as_text, since
@@ -257,3 +259,19 @@ def test_sample_does_not_depend_on_partitioning(spark):
     assert one == other and len(set(one)) == 10
     assert one != sorted(r["id"] for r in sample_n(rows, "id", 10, seed=4).collect())
     assert [r["id"] for r in top_n(rows, 3, F.desc("id")).collect()] == [999, 998, 997]
+
+
+def test_a_row_count_mismatch_stops_the_run(spark):
+    require_reconciled(reconcile_load({"a": spark.range(100)}, {"a": spark.range(99)}))
+    with pytest.raises(RowCountMismatch, match="b: 5 of 100 rows"):
+        require_reconciled(reconcile_load(
+            {"a": spark.range(100), "b": spark.range(100)}, {"a": spark.range(100), "b": spark.range(5)}))
+
+
+def test_drift_of_the_source_does_not_reach_the_table(spark, tmp_path):
+    layout = Layout(f"{tmp_path}/landing", f"{tmp_path}/table", "")
+    wanted = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
+    drifted = spark.createDataFrame([("x", "a", 1)], "extra string, NAME string, id int")
+    loaded = load_dated(spark, drifted, "t", layout, date(2024, 1, 1), schema=wanted)
+    assert {"id", "name", "_ingested_at", "load_date"} == set(loaded.columns)
+    assert loaded.select("id", "name").collect() == [(1, "a")]

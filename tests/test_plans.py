@@ -11,6 +11,7 @@ from tradewind.operators.dedup import keep_latest
 from tradewind.operators.joins import known_key_share, lookup, orphans
 from tradewind.plans import intermediate, marts
 from tradewind.plans.warehouse import Warehouse
+from tradewind.registry import catalogue
 from tradewind.sources import registry, sinks
 from tradewind.sources.extract import since
 from tradewind.sources.star_tables import RAW, warehouse
@@ -236,3 +237,19 @@ def test_hot_product_and_day_equal_brute_force(spark):
         F.mode("customer_country", True)).first()
     assert (got["total_orders"], got["unique_customers"], got["gross_revenue"],
             got["top_customer_country"]) == tuple(plain)
+
+
+def test_daily_revenue_reads_no_products(spark):
+    plan = plan_of(warehouse(spark, SMALL).mart_revenue_daily)
+    assert "p_partkey" not in plan and plan.count("l_orderkey") and plan.count("ReadSchema: struct<l_") == 1
+
+
+def test_known_keys_are_read_without_other_columns(spark):
+    plan = plan_of(catalogue.queries()["join11_known_customer_share"].plain(spark, SMALL))
+    assert "c_name" not in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize("query", ["mdl07_customers", "agg04_count_distinct"])
+def test_counts_need_no_map_and_multiply_no_rows(spark, query):
+    plan = plan_of(catalogue.queries()[query].plain(spark, SMALL))
+    assert "Expand" not in plan and "ObjectHashAggregate" not in plan

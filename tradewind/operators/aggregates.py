@@ -23,6 +23,19 @@ def most_frequent(rows: DataFrame, keys: Sequence[str], value: str, alias: str)
     return counted.groupBy(*keys).agg(commonest(value, "_n").alias(alias))
 
 
+def distinct_counts(rows: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
+    """Distinct non-null values of several columns (output name -> column) per group.
+
+    Each column is counted on its own, from a scan of the key and that column, in two steps that
+    combine before they shuffle. One aggregation for all would send every row once per column.
+    """
+    counted = None
+    for alias, name in columns.items():
+        part = rows.select(key, name).distinct().groupBy(key).agg(F.count(name).alias(alias))
+        counted = part if counted is None else counted.unionByName(part, allowMissingColumns=True)
+    return counted.groupBy(key).agg(*[F.sum(alias).alias(alias) for alias in columns])
+
+
 def first_by(value: Column, *order: Column) -> Column:
     """Value of the row that comes first; further order columns break ties."""
     return F.min_by(value, F.struct(*order))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tradewind.functions import classify, money, temporal
 from tradewind.operators.aggregates import commonest
@@ -89,23 +89,61 @@ def mart_orders(orders: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
+def priced_orders(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Orders with the units and money of their lines: what daily revenue needs of ``mart_orders``.
+
+    ``lines`` needs no product attributes (``sold_lines``), so products are neither read nor joined.
+    """
+    totals = lines.groupBy(F.col("order_id").alias("_order")).agg(
+        F.sum("quantity").alias("total_units"),
+        money.total(F.col("line_revenue")).alias("total_line_revenue"),
+        money.total(F.col("discount_amount")).alias("total_discount_amount"),
+    )
+    joined = orders.join(totals, F.col("order_id") == F.col("_order"), "left").drop("_order")
+    return joined.withColumns({
+        **{name: _zero_if_absent(name) for name in ("total_units", "total_line_revenue", "total_discount_amount")},
+        "order_date_day": temporal.order_calendar(F.col("order_date"))["order_date_day"],
+    })
+
+
+# output name -> column whose most frequent value a customer gets
+FAVOURITES = {
+    "preferred_payment_method": "payment_method",
+    "preferred_category": "primary_category",
+    "typical_order_tier": "order_value_tier",
+}
+
+
 def customer_order_summary(orders: DataFrame) -> DataFrame:
-    """One row per customer with orders. The three ``mode`` maps are bounded by the number of
-    payment methods, catalogue categories and tiers, so one combining pass is enough."""
-    return orders.groupBy("customer_id").agg(
+    """One row per customer with orders.
+
+    Orders are counted per combination of the values that compete to be the most frequent. Only these
+    counts are brought together by customer; a value's orders are added up over the combinations.
+    """
+    counts = ("total_orders", "delivered_orders", "cancelled_orders", "refunded_orders", "priced_orders")
+    totals = ("lifetime_value", "total_discounts_received")
+    combined = orders.where(F.col("customer_id").isNotNull()).groupBy("customer_id", *FAVOURITES.values()).agg(
         F.count("*").alias("total_orders"),
         F.count_if("is_delivered").alias("delivered_orders"),
         F.count_if("is_cancelled").alias("cancelled_orders"),
         F.count_if("is_refunded").alias("refunded_orders"),
-        money.total(F.col("total_amount")).alias("lifetime_value"),
         F.count("total_amount").alias("priced_orders"),
-        F.max("total_amount").alias("max_order_value"),
+        money.total(F.col("total_amount")).alias("lifetime_value"),
         money.total(F.col("total_discount_amount")).alias("total_discounts_received"),
+        F.max("total_amount").alias("max_order_value"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
-        F.mode("payment_method", True).alias("preferred_payment_method"),
-        F.mode("primary_category", True).alias("preferred_category"),
-        F.mode("order_value_tier", True).alias("typical_order_tier"),
+    )
+    weighed = combined.repartition("customer_id")
+    for alias, value in FAVOURITES.items():
+        orders_of_value = F.sum("total_orders").over(Window.partitionBy("customer_id", value))
+        weighed = weighed.withColumn(f"_{alias}", orders_of_value)
+    return weighed.groupBy("customer_id").agg(
+        *_sums(*counts), *_totals(*totals),
+        F.max("max_order_value").alias("max_order_value"),
+        F.min("first_order_date").alias("first_order_date"),
+        F.max("last_order_date").alias("last_order_date"),
+        *[commonest(value, f"_{alias}").alias(alias) for alias, value in FAVOURITES.items()],
     )
 
 

@@ -25,6 +25,16 @@ class Rules:
     stock_ceilings: Sequence = classify.STOCK_CEILINGS
     active_days: int = classify.ACTIVE_DAYS
     active_session_events: int = classify.ACTIVE_SESSION_EVENTS
+    large_movement: int = classify.LARGE_MOVEMENT
+
+
+# Columns that rank rows of one key and one load, per batch table. A load of most tables holds a key once, so
+# nothing has to be ranked and only what a model selects is read. Order items may come twice in a load. Orders
+# feed two branches of the order models; they share one deduplication because both read all columns.
+TIES: Mapping[str, Sequence[str] | None] = {
+    "customers": (), "products": (), "suppliers": (), "orders_history": None,
+    "order_items": ("order_id", "product_id", "quantity", "unit_price", "discount", "subtotal", "created_at"),
+}
 
 
 @dataclass
@@ -32,12 +42,14 @@ class Warehouse:
     """Models over the raw tables. Nothing runs until a model is written or read.
 
     ``published`` holds tables already materialised (marts are tables, the rest are views); a
-    model found there is read instead of being computed again.
+    model found there is read instead of being computed again. Where a load of a table can hold a
+    key more than once, pass its ``ties`` (None ranks by all columns).
     """
 
     raw: Mapping[str, DataFrame]
     rules: Rules
     published: Mapping[str, DataFrame] = field(default_factory=dict)
+    ties: Mapping[str, Sequence[str] | None] = field(default_factory=lambda: TIES)
 
     def model(self, name: str) -> DataFrame:
         return self.published[name] if name in self.published else getattr(self, name)
@@ -45,23 +57,23 @@ class Warehouse:
     # staging
     @cached_property
     def stg_customers(self) -> DataFrame:
-        return staging.stg_customers(self.raw["customers"])
+        return staging.stg_customers(self.raw["customers"], self.ties.get("customers"))
 
     @cached_property
     def stg_products(self) -> DataFrame:
-        return staging.stg_products(self.raw["products"])
+        return staging.stg_products(self.raw["products"], self.ties.get("products"))
 
     @cached_property
     def stg_suppliers(self) -> DataFrame:
-        return staging.stg_suppliers(self.raw["suppliers"])
+        return staging.stg_suppliers(self.raw["suppliers"], self.ties.get("suppliers"))
 
     @cached_property
     def stg_orders_history(self) -> DataFrame:
-        return staging.stg_orders_history(self.raw["orders_history"])
+        return staging.stg_orders_history(self.raw["orders_history"], self.ties.get("orders_history"))
 
     @cached_property
     def stg_order_items(self) -> DataFrame:
-        return staging.stg_order_items(self.raw["order_items"])
+        return staging.stg_order_items(self.raw["order_items"], self.ties.get("order_items"))
 
     @cached_property
     def stg_orders_stream(self) -> DataFrame:
@@ -100,7 +112,7 @@ class Warehouse:
     def int_inventory_enriched(self) -> DataFrame:
         return intermediate.int_inventory_enriched(
             self.model("stg_inventory_updates"), self.model("stg_products"), self.model("stg_suppliers"),
-            self.rules.stock_ceilings)
+            self.rules.stock_ceilings, self.rules.large_movement)
 
     # marts
     @cached_property
@@ -124,7 +136,11 @@ class Warehouse:
 
     @cached_property
     def mart_revenue_daily(self) -> DataFrame:
-        return marts.mart_revenue_daily(self.model("mart_orders"))
+        """A published order mart is read; otherwise orders are priced without looking up products."""
+        if "mart_orders" in self.published:
+            return marts.mart_revenue_daily(self.published["mart_orders"])
+        sold = intermediate.sold_lines(self.model("stg_order_items"), self.model("stg_orders_history"))
+        return marts.mart_revenue_daily(marts.priced_orders(self.model("int_orders_with_customers"), sold))
 
     @cached_property
     def mart_funnel(self) -> DataFrame:
@@ -159,6 +175,7 @@ def publish_marts(spark: SparkSession, warehouse: Warehouse, root: str,
     published = dict(warehouse.published)
     for name in names:
         path = f"{root}/{LAYER_SCHEMAS['marts'].lower()}/{name}"
-        Warehouse(warehouse.raw, warehouse.rules, published).model(name).write.mode("overwrite").parquet(path)
+        house = Warehouse(warehouse.raw, warehouse.rules, published, warehouse.ties)
+        house.model(name).write.mode("overwrite").parquet(path)
         published[name] = spark.read.parquet(path)
-    return Warehouse(warehouse.raw, warehouse.rules, published)
+    return Warehouse(warehouse.raw, warehouse.rules, published, warehouse.ties)

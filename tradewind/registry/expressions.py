@@ -10,6 +10,7 @@ from tradewind.plans.intermediate import sold_lines
 from tradewind.registry.contract import rendered_sql
 from tradewind.registry.oracle import AS_OF as AS_OF_SQL, HEALTH, ISO, TIER, mean
 from tradewind.registry.register import Register
+from tradewind.session import fresh_folder
 from tradewind.sources import star_tables
 from tradewind.sources.extract import as_landed, as_text
 from tradewind.sources.star_tables import AS_OF, RULES, read, warehouse
@@ -289,13 +290,25 @@ def _(spark, folder):
 
 
 @query("mac04_layer_schema", """
-    SELECT layer, count(*) AS orders FROM (
-        SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'RAW' ELSE 'MARTS' END AS layer FROM orders) GROUP BY layer""")
-def _(spark, folder):
-    """Rows routed to the schema their layer is written to."""
-    marts, default = keys.schema_name(" MARTS ", "RAW"), keys.schema_name(None, "RAW")
-    layer = F.when(C("o_orderkey") % 3 == 0, default).otherwise(marts)
-    return read(spark, folder, "orders").groupBy(layer.alias("layer")).agg(F.count("*").alias("orders"))
+    SELECT layer, "schema", rows FROM (
+        SELECT 'staging' AS layer, 'STAGING' AS "schema", count(*) AS rows FROM stg_suppliers UNION ALL
+        SELECT 'intermediate', 'STAGING', count(*) FROM int_order_lines UNION ALL
+        SELECT 'marts', 'MARTS', count(*) FROM mart_revenue_daily UNION ALL
+        SELECT 'none', 'RAW', count(*) FROM raw_suppliers)""")
+def _(spark, folder):
+    """A model of each layer written to the folder of its schema and read back; without a layer, the default."""
+    root, house = fresh_folder(spark, "mac04"), warehouse(spark, folder)
+    models = {"staging": "stg_suppliers", "intermediate": "int_order_lines", "marts": "mart_revenue_daily"}
+    tables = {layer: house.model(model) for layer, model in models.items()}
+    tables["none"] = raw(spark, folder, "suppliers")
+    result = None
+    for layer, rows in tables.items():
+        schema = keys.schema_name(keys.LAYER_SCHEMAS.get(layer), "RAW")
+        rows.write.parquet(f"{root}/{schema}/{layer}")
+        part = spark.read.parquet(f"{root}/{schema}/{layer}").agg(F.count("*").alias("rows")).select(
+            F.lit(layer).alias("layer"), F.lit(schema).alias("schema"), "rows")
+        result = part if result is None else result.unionByName(part)
+    return result
 
 
 # ------------------------------------------------------------------ projections

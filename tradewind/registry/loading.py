@@ -15,7 +15,7 @@ from tradewind.plans import batch_load, staging, topic_load
 from tradewind.plans.snapshot import KEPT, customer_segments_snapshot, segment_state
 from tradewind.plans.warehouse import publish_marts, register_views
 from tradewind.registry.contract import MODEL_COLUMNS, rendered_sql
-from tradewind.registry.oracle import TABLES, mean
+from tradewind.registry.oracle import ISO, TABLES, mean
 from tradewind.registry.register import Register
 from tradewind.session import fresh_folder
 from tradewind.sources import files, registry, sinks, state
@@ -95,16 +95,26 @@ def _(spark, folder):
 def source_root(spark, folder, *names):
     root = fresh_folder(spark, "sources")
     for name in names:
-        sinks.write_parquet(sinks.align(raw(spark, folder, name), registry.SOURCES[name].schema), f"{root}/{name}")
+        rows = sinks.align(raw(spark, folder, name), registry.SOURCES[name].schema, strict=False)
+        sinks.write_parquet(rows, f"{root}/{name}")
     return root
 
 
-@query("src09_declared_sources", f"""
-    SELECT supplier_id, supplier_name, {rendered_sql('created_at _ingested_at')} FROM raw_suppliers""")
+# source -> a column that identifies its rows
+SOURCE_KEYS = {**schemas.PRIMARY_KEYS, **dict.fromkeys(schemas.TOPICS, "event_id")}
+
+
+@query("src09_declared_sources", " UNION ALL ".join(
+    f"SELECT '{name}' AS source_name, {SOURCE_KEYS[name]} AS id FROM raw_{name}" for name in registry.SOURCES))
 def _(spark, folder):
-    root = source_root(spark, folder, "suppliers")
-    return registry.read_source(spark, root, "suppliers").select(
-        "supplier_id", "supplier_name", "created_at", "_ingested_at")
+    """Every declared source read with its declared columns."""
+    root = source_root(spark, folder, *registry.SOURCES)
+    result = None
+    for name in registry.SOURCES:
+        part = registry.read_source(spark, root, name).select(
+            F.lit(name).alias("source_name"), C(SOURCE_KEYS[name]).alias("id"))
+        result = part if result is None else result.unionByName(part)
+    return result
 
 
 @query("src10_model_reference", """
@@ -166,16 +176,20 @@ def _(spark, folder):
 
 MARKS = " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, max(created_at) AS last_extracted_at, count(*) AS last_row_count "
-    f"FROM raw_{name}" for name in ("customers", "suppliers", "products"))
+    f"FROM raw_{name}" for name in ("customers", "suppliers", "products")) + f"""
+    UNION ALL SELECT 'orders_history', max(strptime(created_at, {ISO})), count(*) FROM raw_orders_history
+    UNION ALL SELECT 'order_items', NULL, count(*) FROM raw_order_items"""
 
 
 @query("snk06_advance_watermark", f"SELECT table_name, {rendered_sql('last_extracted_at')}, last_row_count FROM marks",
        {"marks": MARKS})
 def _(spark, folder):
+    """All batch tables; order items are read in full each time and have no mark."""
     marks = fresh_folder(spark, "snk06-state")
-    for name in ("customers", "suppliers", "products"):
+    for name in schemas.BATCH_TABLES:
         layout = batch_load.Layout(fresh_folder(spark, "snk06"), "", marks)
-        batch_load.extract_increment(spark, raw(spark, folder, name), name, "created_at", layout, RUN)
+        column = None if name == "order_items" else "created_at"
+        batch_load.extract_increment(spark, raw(spark, folder, name), name, column, layout, RUN)
     return state.watermarks(spark, marks).select("table_name", "last_extracted_at", "last_row_count")
 
 
@@ -242,16 +256,26 @@ def _(spark, folder):
     return spark.read.parquet(layout.table).select("event_id", "session_id", "time_on_page_ms", "load_id")
 
 
-@query("snk12_extend_loaded_set", """
-    SELECT CAST(kafka_partition AS VARCHAR) AS path FROM raw_clickstream UNION
-    SELECT CAST(kafka_partition AS VARCHAR) FROM raw_orders_stream""")
+@query("snk12_extend_loaded_set", " UNION ALL ".join(
+    f"SELECT DISTINCT '{name}' AS topic, kafka_partition AS landed_partition, {load_id} AS load_id, FALSE AS repeated "
+    f"FROM raw_{name}" for load_id, name in enumerate(("clickstream", "orders_stream"))))
 def _(spark, folder):
-    manifest = fresh_folder(spark, "snk12")
-    for load_id, name in enumerate(("clickstream", "orders_stream", "clickstream")):
-        paths = raw(spark, folder, name).select(C("kafka_partition").cast("string").alias("path")).distinct()
-        loaded = state.manifest(spark, manifest)
-        state.mark_loaded(state.pending(paths, loaded), manifest, load_id)
-    return state.manifest(spark, manifest).select("path")
+    """Files of two topics land one after the other; each listing adds to the set only what is new."""
+    landed, manifest = fresh_folder(spark, "snk12-landed"), fresh_folder(spark, "snk12")
+    for load_id, name in enumerate(("clickstream", "orders_stream")):
+        events = raw(spark, folder, name).withColumn("landed_partition", C("kafka_partition"))
+        events.write.partitionBy("landed_partition").parquet(f"{landed}/{name}")
+        new = state.pending(files.list_files(spark, landed), state.manifest(spark, manifest))
+        state.mark_loaded(new, manifest, load_id)
+    again = state.pending(files.list_files(spark, landed), state.manifest(spark, manifest))
+    state.mark_loaded(again, manifest, 2)
+    place = r"([a-z_]+)/landed_partition=(\d+)"
+    return (
+        state.manifest(spark, manifest)
+        .groupBy(F.regexp_extract("path", place, 1).alias("topic"),
+                 F.regexp_extract("path", place, 2).cast("int").alias("landed_partition"), "load_id")
+        .agg((F.count("*") > F.count_distinct("path")).alias("repeated"))
+    )
 
 
 @query("snk13_create_table_if_missing", """

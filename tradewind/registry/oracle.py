@@ -306,7 +306,7 @@ TABLES["int_inventory_enriched"] = f"""
            p.supplier_id, s.supplier_name, s.country AS supplier_country,
            CAST(p.unit_price * abs(quantity_change) AS DECIMAL(18,2)) AS movement_value,
            {HEALTH.format('quantity_after')} AS stock_health,
-           coalesce(abs(quantity_change) > 100, FALSE) AS is_large_movement
+           coalesce(abs(quantity_change) > 40, FALSE) AS is_large_movement
     FROM stg_inventory_updates i LEFT JOIN stg_products p USING (product_id) LEFT JOIN stg_suppliers s USING (supplier_id)"""
 
 # ---------------------------------------------------------------- marts

@@ -13,7 +13,9 @@ from tradewind.plans import intermediate, marts, staging
 from tradewind.registry.contract import rendered_sql
 from tradewind.registry.oracle import commonest, latest, mean, units
 from tradewind.registry.register import Register
+from tradewind.session import fresh_folder
 from tradewind.sources import state
+from tradewind.sources.files import list_files
 from tradewind.sources.star_tables import RAW, read, warehouse
 
 REGISTER = Register()
@@ -92,16 +94,15 @@ def _(spark, folder):
 
 
 @query("join07_customers_left_orders", """
-    SELECT customer_id, coalesce(n, 0) AS late_orders FROM stg_customers
-    LEFT JOIN (SELECT customer_id, count(*) AS n FROM stg_orders_history
-               WHERE order_date >= TIMESTAMP '2001-01-01' GROUP BY customer_id) USING (customer_id)""")
+    SELECT customer_id, coalesce(n, 0) AS total_orders FROM stg_customers
+    LEFT JOIN (SELECT customer_id, count(*) AS n FROM stg_orders_history GROUP BY customer_id)
+    USING (customer_id)""")
 def _(spark, folder):
-    """Orders of the last year per customer; customers without any are kept."""
+    """Orders per customer; customers without any are kept."""
     house = warehouse(spark, folder)
-    late = house.stg_orders_history.where("order_date >= timestamp'2001-01-01'")
-    counted = late.groupBy("customer_id").agg(F.count("*").alias("late_orders"))
+    counted = house.stg_orders_history.groupBy("customer_id").agg(F.count("*").alias("total_orders"))
     return house.stg_customers.join(counted, "customer_id", "left").select(
-        "customer_id", F.coalesce("late_orders", F.lit(0)).alias("late_orders"))
+        "customer_id", F.coalesce("total_orders", F.lit(0)).alias("total_orders"))
 
 
 @query("join08_products_star", """
@@ -138,17 +139,24 @@ def _(spark, folder):
            count(*) FILTER (customer_id IN (SELECT customer_id FROM stg_customers)) AS known_count
     FROM raw_orders_stream""")
 def _(spark, folder):
+    # which ids exist does not depend on the version kept, so the raw table will do
     return known_key_share(raw(spark, folder, "orders_stream"), "customer_id",
-                           warehouse(spark, folder).stg_customers, "customer_id")
+                           raw(spark, folder, "customers"), "customer_id")
 
 
 @query("join12_files_not_loaded", """
-    SELECT DISTINCT _source_file AS path FROM raw_orders_stream
-    WHERE _source_file NOT IN (SELECT _source_file FROM raw_clickstream WHERE kafka_partition = 0)""")
+    SELECT DISTINCT kafka_partition AS landed_partition FROM raw_orders_stream WHERE kafka_partition >= 2""")
 def _(spark, folder):
-    files = raw(spark, folder, "orders_stream").select(C("_source_file").alias("path")).distinct()
-    loaded = raw(spark, folder, "clickstream").where("kafka_partition = 0").select(C("_source_file").alias("path"))
-    return state.pending(files, loaded)
+    """Files landed in two turns; those of the first one are in the loaded set already."""
+    landed, manifest = fresh_folder(spark, "join12-landed"), fresh_folder(spark, "join12")
+    events = raw(spark, folder, "orders_stream").withColumn("landed_partition", C("kafka_partition"))
+    for low, high in ((0, 1), (2, 3)):
+        part = events.where(C("kafka_partition").between(low, high))
+        part.write.partitionBy("landed_partition").mode("append").parquet(landed)
+        if low == 0:
+            state.mark_loaded(list_files(spark, landed), manifest, 0)
+    left = state.pending(list_files(spark, landed), state.manifest(spark, manifest))
+    return left.select(F.regexp_extract("path", r"landed_partition=(\d+)", 1).cast("int").alias("landed_partition")).distinct()
 
 
 @query("join13_update_from_aggregate", """
@@ -215,9 +223,8 @@ def _(spark, folder):
     SELECT warehouse_id, count(DISTINCT product_id) AS products, count(DISTINCT sku) AS skus,
            count(DISTINCT quantity_after) AS levels FROM stg_inventory_updates GROUP BY warehouse_id""")
 def _(spark, folder):
-    return warehouse(spark, folder).stg_inventory_updates.groupBy("warehouse_id").agg(
-        F.countDistinct("product_id").alias("products"), F.countDistinct("sku").alias("skus"),
-        F.countDistinct("quantity_after").alias("levels"))
+    return aggregates.distinct_counts(warehouse(spark, folder).stg_inventory_updates, "warehouse_id",
+                           {"products": "product_id", "skus": "sku", "levels": "quantity_after"})
 
 
 @query("agg05_conditional_count", """

@@ -21,6 +21,7 @@ RULES = Rules(
     tier_floors=(300_000, 100_000),
     segment_floors=(4_000_000, 2_000_000, 1_000_000),
     performance_floors=(1_500_000, 1_000_000, 500_000),
+    large_movement=40,
 )
 
 EVENT_TYPES = {

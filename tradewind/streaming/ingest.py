@@ -25,10 +25,10 @@ BROKER_ROW = T.StructType([
 ])
 
 
-def read_topic(spark: SparkSession, topic: str, servers: str, per_trigger: int | None = OFFSETS_PER_TRIGGER,
+def read_topic(spark: SparkSession, topic: str, servers: str, per_trigger: int | None = None,
                start: str = "earliest", fail_on_data_loss: bool = True) -> DataFrame:
-    """Broker rows of a topic. ``per_trigger=None`` lifts the rate limit; lost offsets are an
-    error unless ``fail_on_data_loss`` is off."""
+    """Broker rows of a topic, without a rate limit unless ``per_trigger`` (such as
+    ``OFFSETS_PER_TRIGGER``) sets one; lost offsets are an error unless ``fail_on_data_loss`` is off."""
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers).option("subscribe", topic)
