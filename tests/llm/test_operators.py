@@ -217,6 +217,30 @@ def test_base_patterns_and_field(spark, odd):
     assert pii.find(odd.limit(0), field).count() == 0
 
 
+@pytest.mark.parametrize("doubt", [5.0, 5.9, 6.2])
+def test_field_reaches_all_repeats_of_an_entity(doubt):
+    text = "call +49 30 1234567 now" + ", or 49 30 1234567 now" * 30
+    graph = pii.Graph(text, pii.base_spans(text))
+    assert len(graph.skips) == 30 and graph.label == [pii.LABELS.index("phone")] + [0] * 30
+    field = pii.Field()
+    plain, deciding = graph.features[1]
+    field.unary[plain[0], 0] = doubt - field.unary[plain + deciding, 0].sum()
+    got = field.marginals(graph)
+    # the links are one chain: forward and backward sums are exact
+    own = np.stack([field.unary[a + b].sum(0) for a, b in graph.features])
+    own[0] = np.where(np.arange(len(pii.LABELS)) == graph.label[0], 0, -1e4)
+    step = lambda scores: np.log(np.exp(field.skip + (scores - scores.max())[None, :]).sum(1)) + scores.max()
+    ahead, back = [own[0]], [np.zeros(len(pii.LABELS))]
+    for i in range(1, 31):
+        ahead.append(own[i] + step(ahead[-1]))
+        back.append(step(back[-1] + own[31 - i]))
+    exact = np.stack(ahead) + np.stack(back[::-1])
+    exact = np.exp(exact - exact.max(1)[:, None])
+    exact /= exact.sum(1)[:, None]
+    assert np.abs(got - exact).max() < 0.01
+    assert (got.argmax(1) == exact.argmax(1)).all()
+
+
 def test_quality_on_held_out_rows(spark, odd):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
     held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1

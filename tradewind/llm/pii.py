@@ -35,7 +35,7 @@ TRAIN = 3000        # documents that the field is trained on, at most
 MIN_DIGITS = 7
 TAIL = 8            # numbers with the same last digits are similar
 BUCKETS = 1 << 10
-ROUNDS = 8          # of message passing
+SETTLED = 1e-3      # message passing ends when no message changes by more
 AGREE = 6.0         # potential of a link between candidates of one kind, before training
 EPOCHS, RATE = 4, 0.2
 LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -190,7 +190,9 @@ class Field:
         return self
 
     def marginals(self, graph: Graph) -> np.ndarray:
-        """Loopy message passing, all messages of a round at once; labels of base spans are held."""
+        """Loopy message passing, all messages of a round at once, until they no longer change; labels of base
+        spans are held. The rounds are bounded, as loops may not settle, by a multiple of the longest way a
+        message can take."""
         n, k = len(graph.spans), len(LABELS)
         own = np.stack([self.unary[plain + deciding].sum(0) for plain, deciding in graph.features])
         held = np.array(graph.label)
@@ -204,13 +206,17 @@ class Field:
             tables = np.concatenate([tables.transpose(0, 2, 1), tables])  # [edge, target label, source label]
             back = np.concatenate([np.arange(len(a)) + len(a), np.arange(len(a))])
             messages = np.zeros((len(source), k))
-            for _ in range(ROUNDS):
+            for _ in range(16 + 4 * n):
                 belief = own.copy()
                 np.add.at(belief, target, messages)
                 joint = tables + (belief[source] - messages[back])[:, None, :]
                 top = joint.max(2)
                 after = top + np.log(np.exp(joint - top[:, :, None]).sum(2))
-                messages = 0.5 * messages + 0.5 * (after - after.max(1)[:, None])
+                after -= after.max(1)[:, None]
+                change = np.abs(after - messages).max()
+                messages = 0.5 * messages + 0.5 * after
+                if change <= SETTLED:
+                    break
             np.add.at(own, target, messages)
         own = np.exp(own - own.max(1)[:, None])
         return own / own.sum(1)[:, None]
