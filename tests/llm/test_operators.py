@@ -335,6 +335,24 @@ def test_nn_descent_recall(vectors):
     assert nn_descent.nearest(vectors.limit(0)).count() == 0
 
 
+def test_nn_descent_recall_over_many_leaves(spark, monkeypatch):
+    # a sample that shapes few leaves, a third of the vectors in one dense cluster
+    for name, value in (("LEAF", 20), ("SAMPLE", 64), ("TREES", 2), ("LINKS", 10), ("REVERSE", 10), ("BEAM", 6), ("WIDTH", 48)):
+        monkeypatch.setattr(nn_descent, name, value)
+    random = np.random.default_rng(5)
+    own = random.standard_normal((3000, 12))
+    own[::3] = own[0] + 0.2 * own[::3]
+    own = own.astype(np.float32)[random.permutation(3000)]
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(own)], "vec_id bigint, embedding array<float>")
+    lengths = own / np.linalg.norm(own, axis=1, keepdims=True)
+    scores = lengths[::20] @ lengths.T
+    scores[np.arange(150), np.arange(0, 3000, 20)] = -2
+    wanted = {(20 * q, int(i)) for q, near in enumerate(np.argsort(-scores, axis=1)[:, :5]) for i in near}
+    got = {(r["query_id"], r["vec_id"]) for r in nn_descent.nearest(rows, k=5, every=20).collect()}
+    print("recall", len(got & wanted) / len(wanted))
+    assert len(got) == len(wanted) and len(got & wanted) >= 0.9 * len(wanted)
+
+
 def test_every_operator_is_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in registry.queries())
     assert numbers == list(range(1, 11)) and registry.oracle_sql().keys() <= registry.queries().keys()

@@ -1,10 +1,10 @@
 """Approximate nearest neighbours by cosine: NN-descent and greedy search on the graph.
 
-The graph starts from leaves of random-hyperplane trees (shaped by a bounded sample) and is improved by joins of
-neighbours with neighbours: every point gathers the points it links to and, up to `reverse` of them by a hash,
+The graph starts from leaves of random-hyperplane trees (shaped by a bounded sample, and by one of its own where
+a leaf is still too large) and is improved by joins of neighbours with neighbours until few links are new: every point gathers the points it links to and, up to `reverse` of them by a hash,
 those that link to it; all of these are compared with each other, and each learns of the best it met that are
 nearer than the worst it knows. Graph and walk use one byte a component. A query
-starts from its own point's links and expands the best points it knows that are not expanded yet, join by join;
+starts from its own point's links and expands the best points it knows, join by join, until all are expanded;
 the best it found are scored by their original vectors.
 Every point is indexed and every query is answered; the sample sizes (links, reverse links, beam) are the
 parameters of the approximation, and recall against brute force is tested.
@@ -32,11 +32,11 @@ REVERSE = 32    # points that link to a point, in one round
 TREES = 6       # that the graph starts from
 LEAF = 1000     # points in a leaf, about
 SAMPLE = 8192   # points that shape the trees, at most
-ROUNDS = 2      # of neighbours meeting neighbours
+SPLIT = 64      # points that shape the further hyperplanes of a leaf that is too large, about
+CHANGED = 0.02  # share of new links under which neighbours meet no more
 MET = 12        # new neighbours a point learns of in one meeting
 BEAM = 48       # points that a query expands in one step
 WIDTH = 192     # points that a query remembers
-STEPS = 4
 RESCORED = 6    # times k points are scored by their original vectors
 PART = 200_000  # links or members handled together, about
 
@@ -86,6 +86,30 @@ class Tree:
         return out
 
 
+def further(leaf: np.ndarray, vectors: np.ndarray, level: dict[int, tuple[int, Tree]]) -> np.ndarray:
+    """The leaves after those of `level` are split; each has its first new number and a tree."""
+    out = leaf.copy()
+    for old in np.unique(leaf):
+        if int(old) in level:
+            first, tree = level[int(old)]
+            own = np.flatnonzero(leaf == old)
+            out[own] = first + tree.leaf(vectors[own])
+    return out
+
+
+def halves(vectors: np.ndarray, most: int, seed: int = 0) -> list[np.ndarray]:
+    """Parts of up to `most` vectors, cut by hyperplanes; for what is left above that when a leaf was split."""
+    random, out, stack = np.random.default_rng(seed), [], [np.arange(len(vectors))]
+    while stack:
+        own = stack.pop()
+        if len(own) <= most:
+            out.append(own)
+            continue
+        order = own[np.argsort(vectors[own] @ random.standard_normal(vectors.shape[1]), kind="stable")]
+        stack += [order[:len(order) // 2], order[len(order) // 2:]]
+    return out
+
+
 LINK_TABLE = "part bigint, point binary, near binary, score binary"
 
 
@@ -207,20 +231,24 @@ def build(sources: DataFrame, total: int, width: int) -> tuple[DataFrame, DataFr
             yield pa.RecordBatch.from_arrays([batch.column("point"), code(matrix(batch.column("v"), width))],
                                              names=["point", "code"])
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = trees_of()
-        for batch in batches:
-            vectors = decoded(batch.column("code"), width)
-            for i, tree in enumerate(trees):
-                yield pa.RecordBatch.from_arrays([pa.array(tree.leaf(vectors) * len(trees) + i), batch.column("point"),
-                                                  batch.column("code")], names=["leaf", "point", "code"])
+    def dealing(splits_of):
+        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            trees, splits = trees_of(), splits_of()
+            for batch in batches:
+                vectors = decoded(batch.column("code"), width)
+                for i, tree in enumerate(trees):
+                    leaf = tree.leaf(vectors) * len(trees) + i
+                    for level in splits:
+                        leaf = further(leaf, vectors, level)
+                    yield pa.RecordBatch.from_arrays([pa.array(leaf), batch.column("point"), batch.column("code")],
+                                                     names=["leaf", "point", "code"])
+
+        return deal
 
     def start(table: pa.Table) -> pa.Table:
+        table = table.sort_by("point")
         vectors, point = decoded(table.column("code"), width), table.column("point").to_numpy()
-        order = np.argsort(point, kind="stable")
-        # a leaf that the sample made too large is met in parts
-        return pa.concat_tables([links(*meet_all(point[order[i:i + 2 * LEAF]], vectors[order[i:i + 2 * LEAF]], LINKS), merging)
-                                 for i in range(0, len(point), 2 * LEAF)])
+        return pa.concat_tables([links(*meet_all(point[own], vectors[own], LINKS), merging) for own in halves(vectors, 2 * LEAF)])
 
     def gather(table: pa.Table) -> pa.Table:
         centre, point, worst = (table.column(name).to_numpy() for name in ("centre", "member", "worst"))
@@ -233,11 +261,38 @@ def build(sources: DataFrame, total: int, width: int) -> tuple[DataFrame, DataFr
             yield from links(point, near.flatten().to_numpy(), scores.flatten().to_numpy(), merging).to_batches()
 
     codes = materialize(sources.select("point", "v").mapInArrow(coded, "point bigint, code binary"), "codes")
-    dealt = codes.mapInArrow(deal, "leaf bigint, point bigint, code binary")
+    kind = "leaf bigint, point bigint, code binary"
+    splits: list[dict[int, tuple[int, Tree]]] = []
+    number, whole = leaves * TREES + TREES, set()
+    while True:
+        # the name of the value differs from that of the trees, which stay
+        dealt = codes.mapInArrow(dealing(shared(spark, "trees splits", splits)), kind)
+        sizes = dealt.groupBy("leaf").count().where(F.col("count") > 2 * LEAF).collect()
+        large = {r["leaf"]: r["count"] for r in sizes if r["leaf"] not in whole}
+        if not large:
+            break
+        counts = spark.createDataFrame(list(large.items()), "leaf bigint, count bigint")
+        share = F.pmod(F.xxhash64("point", "leaf"), F.lit(1 << 20)) * F.col("count") < SPLIT * (1 << 20)
+        shaping: dict[int, list] = {}
+        for row in sorted(dealt.join(F.broadcast(counts), "leaf").where(share).select("leaf", "point", "code").collect()):
+            shaping.setdefault(row["leaf"], []).append(row["code"])
+        level = {}
+        for leaf, many in sorted(large.items()):
+            own = decoded(pa.chunked_array([pa.array(shaping.get(leaf, []), pa.binary())]), width)
+            tree = Tree(own, min(-(-many // LEAF), max(2, len(own) // 8)), leaf)
+            # codes that no hyperplane parts are left to the task
+            if tree.leaves > 1 and len(np.unique(own, axis=0)) > 1:
+                level[leaf] = (number, tree)
+                number += tree.leaves
+            else:
+                whole.add(leaf)
+        if level:
+            splits = [*splits, level]
     listed = "point bigint, near array<bigint>, scores array<float>"
     graph = materialize(dealt.groupBy("leaf").applyInArrow(start, LINK_TABLE).groupBy("part")
                         .applyInArrow(merge(LINKS), listed), "graph")
-    for _ in range(ROUNDS):
+    changed = 1.0
+    while changed > CHANGED:
         members = graph.select(F.col("point").alias("centre"), F.explode("near").alias("member")).unionByName(
             backward(graph)).unionByName(codes.select(F.col("point").alias("centre"), F.col("point").alias("member")))
         worst = F.when(F.size("scores") < LINKS, F.lit(-2.0)).otherwise(F.element_at("scores", -1)).cast("float")
@@ -246,7 +301,11 @@ def build(sources: DataFrame, total: int, width: int) -> tuple[DataFrame, DataFr
         met = (members.join(known, "member").withColumn("group", F.pmod(F.xxhash64("centre"), F.lit(meeting)))
                .groupBy("group").applyInArrow(gather, LINK_TABLE))
         before = graph.mapInArrow(held, LINK_TABLE)
-        graph = materialize(met.unionByName(before).groupBy("part").applyInArrow(merge(LINKS), listed), "graph")
+        after = materialize(met.unionByName(before).groupBy("part").applyInArrow(merge(LINKS), listed), "graph")
+        old = graph.select("point", F.col("near").alias("old"))
+        new = F.size(F.array_except("near", F.coalesce("old", F.array().cast("array<bigint>"))))
+        counted = after.join(old, "point", "left").agg(F.sum(new), F.sum(F.size("near"))).first()
+        graph, changed = after, (counted[0] or 0) / max(counted[1] or 0, 1)
     return graph, codes
 
 
@@ -280,8 +339,10 @@ def search(graph: DataFrame, codes: DataFrame, asked: DataFrame, width: int) ->
         F.col("point").alias("query"), "code", F.concat(F.array("point"), F.coalesce("near", empty)).alias("near"),
         F.concat(F.array(F.lit(1.0).cast("float")), F.coalesce("scores", F.array().cast("array<float>"))).alias("scores"),
         F.array("point").alias("done"), F.slice(F.coalesce("near", empty), 1, BEAM).alias("turn")))
-    for _ in range(STEPS):
+    while True:
         pool = materialize(pool, "pool")
+        if not pool.where(F.size("turn") > 0).limit(1).count():
+            break
         opened = pool.select("query", F.explode("turn").alias("point")).join(adjacent, "point")
         reached = (opened.groupBy("query").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("others"))
                    .select("query", F.explode("others").alias("other")))
