@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import bpe, chat, knn_join, langid, nn_descent, packing, pii, quality, simhash, suffix_dedup
+from tradewind.llm import (bpe, chat, hard_negatives, knn_join, langid, minhash, nn_descent, packing, pii, prefix_trie,
+                           quality, simhash, suffix_dedup)
 from tradewind.llm.common import table
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
@@ -74,10 +75,27 @@ def op10_nn_descent(spark: SparkSession, folder: str) -> DataFrame:
     return nn_descent.nearest(table(spark, folder, "embeddings").select("vec_id", "embedding"), k=5, every=50)
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    heads = F.crc32(F.col("conv_id").cast("string")) % 4
+    return prefix_trie.node_report(prefix_trie.rebuilt(turns, heads, most=3, family=20))
+
+
+def op12_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.fingerprints(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding", F.when(
+        F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return hard_negatives.mine(rows)
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_byte_bpe, op2_chat_format, op3_language_id, op4_suffix_dedup, op5_best_fit_packing, op6_exact_topk,
-        op7_pii, op8_quality, op9_simhash, op10_nn_descent)}
+        op7_pii, op8_quality, op9_simhash, op10_nn_descent, op11_prefix_trie,
+        op12_minhash, op13_hard_negatives)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -121,4 +139,56 @@ def oracle_sql() -> dict[str, str]:
                 FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
             ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
             SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5""",
+        "op11_prefix_trie": r"""
+            WITH turns AS (
+                SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id
+                    ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) - 1 AS pos
+                FROM conversations WHERE conv_id IS NOT NULL),
+            convs AS (SELECT conv_id, conv_id - conv_id % 20 AS base, xor(list_reduce(
+                    list_transform([4294967295] || list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: ascii(s)),
+                        lambda x: CAST(x AS UBIGINT)),
+                    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x % 2 = 1
+                        THEN xor(x >> 1, CAST(3988292384 AS UBIGINT)) ELSE x >> 1 END)), CAST(4294967295 AS UBIGINT)) % 4 AS h
+                FROM (SELECT DISTINCT conv_id FROM turns)),
+            made AS (
+                SELECT c.conv_id, pos, role, text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.pos < c.h
+                UNION ALL SELECT conv_id, pos, role, text FROM convs JOIN turns USING (conv_id) WHERE pos >= h),
+            marked AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY pos) AS d,
+                sha256(length(role) || ':' || role || text) AS mark,
+                len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM made),
+            paths AS (
+                SELECT conv_id, 0 AS d, '' AS node, 0 AS words FROM convs
+                UNION ALL SELECT conv_id, d, sha256(string_agg(mark, '') OVER (PARTITION BY conv_id ORDER BY d)), words FROM marked),
+            nodes AS (SELECT d, node, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words FROM paths GROUP BY d, node),
+            ups AS (SELECT n.d, n.node, p.node AS up FROM nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.d = n.d - 1),
+            kids AS (SELECT d - 1 AS d, up AS node, count(*) AS n_children FROM ups GROUP BY 1, 2),
+            own AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN kids k ON k.d = n.d AND k.node = n.node),
+            sums AS (SELECT p.d, p.node, count(*) FILTER (o.n_children = 0) AS n_leaves,
+                    sum((o.n_convs - 1) * o.words) AS saved_tokens
+                FROM own o JOIN paths p ON p.conv_id = o.conv_id AND p.d <= o.d GROUP BY 1, 2),
+            last AS (SELECT conv_id, max(d) AS d FROM paths GROUP BY 1),
+            ends AS (SELECT p.d, p.node, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS listed
+                FROM paths p JOIN last USING (conv_id, d) GROUP BY 1, 2)
+            SELECT o.conv_id, CAST(o.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, CAST(o.n_convs AS BIGINT) AS n_convs,
+                CAST(o.n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+                CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(listed, '')) AS ends_sha256
+            FROM own o JOIN sums s ON s.d = o.d AND s.node = o.node LEFT JOIN ends e ON e.d = o.d AND e.node = o.node
+            LEFT JOIN ups ON ups.d = o.d AND ups.node = o.node LEFT JOIN nodes u ON u.d = o.d - 1 AND u.node = ups.up""",
+        "op13_hard_negatives": """
+            WITH good AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+                FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+            r AS (SELECT vec_id, label, v FROM good QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY label, v) = 1),
+            pairs AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+                    CAST(list_dot_product(a.v::DOUBLE[], c.v::DOUBLE[]) AS BIGINT) AS score
+                FROM r a JOIN r c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+            near AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+                QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+            hard AS (SELECT n.*, p.vec_id AS negative_id, p.score AS negative_score,
+                    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY p.score DESC, p.vec_id) AS rank
+                FROM near n JOIN pairs p USING (anchor_id) WHERE NOT p.same
+                AND 80 * positive_score <= 100 * p.score AND p.score <= positive_score)
+            SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+            FROM hard WHERE rank <= 5""",
     }
