@@ -142,8 +142,8 @@ def followed(rows: DataFrame, parts: int) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame, share: int = 3, bins: int = BINS, bits: int = BITS, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of each row of docs
-    (doc_id, text; further columns are not used).
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, next_doc_id of each row
+    of docs (doc_id, text; further columns are not used).
 
     The edited text of a row has its last floor(n_chars / share) code points replaced by the first as many (or
     all) of the next row by descending doc_id; after the last comes the first. Rows that differ in text under one
@@ -157,21 +157,23 @@ def fingerprints(docs: DataFrame, share: int = 3, bins: int = BINS, bits: int =
     # a long row is read once: its fingerprint and length stand for it until the edit
     printed = materialize(rows.select("doc_id", "row", F.length("text").alias("n"),
                                       fingerprint(F.col("text"), bins, bits, shingle).alias("print")), "prints")
-    known = printed.groupBy("doc_id", "row").agg(F.first("n").alias("n"), F.first("print").alias("print"))
-    chain = materialize(followed(known, int(spark.conf.get("spark.sql.shuffle.partitions"))), "chain")
-    # what the next row gives to this one: where its text begins, no more than is taken, and its fingerprint
-    asked = chain.select(F.col("row").alias("asker"), F.col("next_row").alias("row"), F.expr(f"n div {share}").cast("int").alias("take"))
-    given = (rows.join(asked, "row").select("asker", F.substring(F.col("text"), F.lit(1), F.col("take")).alias("beginning"))
-             .groupBy(F.col("asker").alias("row")).agg(F.first("beginning").alias("beginning")))
-    ahead = chain.select(F.col("row").alias("next_row"), F.col("print").alias("next_print"))
-    own = chain.join(ahead, "next_row").select("row", "n", "print", "next_print").join(given, "row")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), F.col("n") - F.expr(f"n div {share}").cast("int")), F.col("beginning"))
-    changed = rows.join(own, "row").select("doc_id", "n", "print", "next_print", edited.alias("edited"))
-    both = changed.select("doc_id", "n", "print", "next_print", F.sha2("edited", 256).alias("edited_sha256"),
+    chain = materialize(followed(printed.select("doc_id", "row", "n").distinct(), int(spark.conf.get("spark.sql.shuffle.partitions"))), "chain")
+    # what the next row gives to this one: its fingerprint, and where its text begins, no more than is taken
+    prints = printed.groupBy("row").agg(F.first("print").alias("print"))
+    ahead = (chain.select(F.col("row").alias("asker"), F.col("next_row").alias("row")).join(prints, "row")
+             .select(F.col("asker").alias("row"), F.col("print").alias("next_print")))
+    take = F.expr(f"n div {share}").cast("int")
+    asked = chain.select(F.col("row").alias("asker"), F.col("next_row").alias("row"), take.alias("take"))
+    # the id goes along, so that both joins with the texts read one shuffle
+    given = (rows.join(asked, "row").select("asker", "doc_id", F.substring(F.col("text"), F.lit(1), F.col("take")).alias("beginning"))
+             .groupBy(F.col("asker").alias("row")).agg(F.first("beginning").alias("beginning"), F.first("doc_id").alias("next_doc_id")))
+    found = rows.join(prints.join(ahead, "row").join(given, "row"), "row").withColumn("n", F.length("text"))
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), F.col("n") - take), F.col("beginning"))
+    changed = found.select("doc_id", "n", "print", "next_print", "next_doc_id", edited.alias("edited"))
+    both = changed.select("doc_id", "n", "print", "next_print", "next_doc_id", F.sha2("edited", 256).alias("edited_sha256"),
                           fingerprint(F.col("edited"), bins, bits, shingle).alias("edited_print"))
-    both = materialize(both, "edited")
     return both.select(
         "doc_id", F.col("n").cast("bigint").alias("n_chars"), "edited_sha256", written(F.col("print")).alias("fingerprint"),
         written(F.col("edited_print")).alias("edited_fingerprint"),
         likeness(F.col("print"), F.col("edited_print"), bins, bits).alias("near_edited"),
-        likeness(F.col("print"), F.col("next_print"), bins, bits).alias("near_next"))
+        likeness(F.col("print"), F.col("next_print"), bins, bits).alias("near_next"), "next_doc_id")
