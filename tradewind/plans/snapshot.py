@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradewind.operators.history import apply_history, start_history
+from tradewind.operators.history_table import read_history, run_history
 
 KEY = "customer_id"
 # A change in one of these opens a new version; the other columns just ride along.
@@ -28,3 +29,13 @@ def customer_segments_snapshot(history: DataFrame | None, customers_mart: DataFr
     if history is None:
         return start_history(current, KEY, as_of)
     return apply_history(history, current, KEY, CHECKED, as_of, close_missing)
+
+
+def snapshot_customer_segments(spark: SparkSession, root: str, customers_mart: DataFrame, as_of: datetime,
+                               close_missing: bool = True) -> DataFrame:
+    """One scheduled run over the history stored at ``root``; returns what changed."""
+    return run_history(spark, root, segment_state(customers_mart, as_of), KEY, CHECKED, as_of, close_missing)
+
+
+def customer_segment_history(spark: SparkSession, root: str) -> DataFrame:
+    return read_history(spark, root)

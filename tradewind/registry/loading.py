@@ -5,6 +5,7 @@ Queries that write do so into a fresh folder below the shared root and return wh
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -12,10 +13,10 @@ from pyspark.sql import functions as F
 from tradewind import schemas
 from tradewind.operators import upsert
 from tradewind.plans import batch_load, staging, topic_load
-from tradewind.plans.snapshot import KEPT, customer_segments_snapshot, segment_state
-from tradewind.plans.warehouse import publish_marts, register_views
+from tradewind.plans.snapshot import KEPT, customer_segment_history, segment_state, snapshot_customer_segments
+from tradewind.plans.warehouse import Warehouse, publish_marts, register_views
 from tradewind.registry.contract import MODEL_COLUMNS, rendered_sql
-from tradewind.registry.oracle import ISO, TABLES, mean
+from tradewind.registry.oracle import AS_OF, ISO, TABLES, mean, variant
 from tradewind.registry.register import Register
 from tradewind.session import fresh_folder
 from tradewind.sources import files, registry, sinks, state
@@ -337,41 +338,29 @@ def _(spark, folder):
 STATES = (datetime(1999, 1, 1), datetime(2000, 1, 1), datetime(2001, 8, 2))
 
 
-def segments_at(spark, folder, as_of, last):
-    """Customer segments from the orders placed before ``as_of``."""
-    house = warehouse(spark, folder)
-    placed = house.stg_orders_history.where(C("order_date") < F.lit(as_of)).groupBy("customer_id").agg(
-        F.count("*").alias("total_orders"), F.sum("total_amount").alias("lifetime_value"),
-        F.max("order_date").alias("last_order_date"), F.mode("payment_method", True).alias("preferred_category"))
-    people = house.stg_customers.where(C("state") != "HOUSEHOLD") if last else house.stg_customers
-    value, orders = F.coalesce("lifetime_value", F.lit(0)), F.coalesce("total_orders", F.lit(0))
-    from tradewind.functions import classify, temporal
-    from tradewind.sources.star_tables import RULES
-
-    idle = temporal.days_between(C("last_order_date"), F.lit(as_of).cast("timestamp"))
-    return people.join(placed, "customer_id", "left").select(
-        "customer_id", "full_name", "email",
-        classify.customer_segment(value, orders, RULES.segment_floors).alias("customer_segment"),
-        value.cast("decimal(28,2)").alias("lifetime_value"), orders.alias("total_orders"),
-        classify.is_true(idle <= 90).alias("is_active_customer"),
-        idle.alias("days_since_last_order"), "preferred_category")
-
-
-def segments_sql(as_of, last):
-    where = "WHERE state <> 'HOUSEHOLD'" if last else ""
-    time = f"TIMESTAMP '{as_of:%Y-%m-%d}'"
-    return f"""
-        SELECT customer_id, full_name, {time} AS run_at, coalesce(v, 0) AS lifetime_value, coalesce(n, 0) AS total_orders,
-               CASE WHEN v >= 4000000 THEN 'platinum' WHEN v >= 2000000 THEN 'gold' WHEN v >= 1000000 THEN 'silver'
-                    WHEN n > 0 THEN 'bronze' ELSE 'prospect' END AS customer_segment,
-               coalesce(date_diff('day', d, {time}) <= 90, FALSE) AS is_active_customer,
-               date_diff('day', d, {time}) AS days_since_last_order
-        FROM stg_customers LEFT JOIN (
-            SELECT customer_id, count(*) AS n, sum(total_amount) AS v, max(order_date) AS d FROM stg_orders_history
-            WHERE order_date < {time} GROUP BY customer_id) USING (customer_id) {where}"""
-
-
-HISTORY = {f"state_{i}": segments_sql(at, i == 2) for i, at in enumerate(STATES)}
+def mart_at(spark, folder, number):
+    """The customer mart as of one of the dates, from the orders placed before it."""
+    house, as_of = warehouse(spark, folder), STATES[number]
+    known = {"stg_orders_history": house.stg_orders_history.where(C("order_date") < F.lit(as_of))}
+    if number == 2:
+        known["stg_customers"] = house.stg_customers.where(C("state") != "HOUSEHOLD")
+    return Warehouse(house.raw, replace(house.rules, as_of=as_of), known, house.ties).mart_customers
+
+
+def mart_sql(number):
+    """The tables that lead to the mart, once more for each date."""
+    time = f"TIMESTAMP '{STATES[number]:%Y-%m-%d}'"
+    cut = {"stg_orders_history": f"SELECT * FROM stg_orders_history WHERE order_date < {time}"}
+    if number == 2:
+        cut["stg_customers"] = "SELECT * FROM stg_customers WHERE state <> 'HOUSEHOLD'"
+    return variant("mart_customers", f"at_{number}", cut, {AS_OF: time})
+
+
+HISTORY = {}
+for number, as_of in enumerate(STATES):
+    HISTORY |= mart_sql(number)
+    HISTORY[f"state_{number}"] = (f"SELECT {', '.join(KEPT)}, TIMESTAMP '{as_of:%Y-%m-%d}' AS run_at "
+                                  f"FROM mart_customers_at_{number}")
 # Versions by gaps and islands: a row opens a version when a checked column differs from the run before.
 HISTORY["runs"] = "SELECT * FROM state_0 UNION ALL SELECT * FROM state_1 UNION ALL SELECT * FROM state_2"
 HISTORY["openings"] = """
@@ -380,40 +369,35 @@ HISTORY["openings"] = """
                  IS DISTINCT FROM (customer_segment, lifetime_value, total_orders, is_active_customer) AS opens
     FROM runs WINDOW w AS (PARTITION BY customer_id ORDER BY run_at)"""
 HISTORY["versions"] = """
-    SELECT customer_id, customer_segment, lifetime_value, total_orders, is_active_customer, days_since_last_order,
-           run_at AS valid_from,
+    SELECT customer_id, full_name, email, customer_segment, lifetime_value, total_orders, is_active_customer,
+           days_since_last_order, preferred_category, run_at AS snapshotted_at, run_at AS valid_from, run_at AS updated_at,
+           md5(customer_id || '|' || strftime(run_at, '%Y-%m-%d %H:%M:%S')) AS scd_id,
            coalesce(lead(run_at) OVER (PARTITION BY customer_id ORDER BY run_at),
                     CASE WHEN customer_id NOT IN (SELECT customer_id FROM state_2) THEN TIMESTAMP '2001-08-02' END)
                AS valid_to
     FROM openings WHERE opens"""
-HISTORY_COLUMNS = (
-    "customer_id customer_segment lifetime_value total_orders is_active_customer days_since_last_order "
-    "valid_from valid_to"
-)
+HISTORY_COLUMNS = [*KEPT, "snapshotted_at", "scd_id", "updated_at", "valid_from", "valid_to"]
 
 
 def snapshot_runs(spark, folder, close_missing=True):
-    """The three runs; the history is written between them, as a scheduled job would."""
-    history = None
+    """The three runs over one stored history, as a scheduled job would; returns its folder."""
+    root = fresh_folder(spark, "segments")
     for number, as_of in enumerate(STATES):
-        mart = segments_at(spark, folder, as_of, last=number == 2)
-        path = fresh_folder(spark, f"segments-{number}")
-        customer_segments_snapshot(history, mart, as_of, close_missing).write.parquet(path)
-        history = spark.read.parquet(path)
-    return history
+        snapshot_customer_segments(spark, root, mart_at(spark, folder, number), as_of, close_missing)
+    return root
 
 
 @query("scd01_segment_history", f"SELECT {rendered_sql(HISTORY_COLUMNS)} FROM versions", HISTORY)
 def _(spark, folder):
-    return snapshot_runs(spark, folder).select(*HISTORY_COLUMNS.split())
+    return customer_segment_history(spark, snapshot_runs(spark, folder)).select(*HISTORY_COLUMNS)
 
 
 @query("scd02_closed_when_missing", f"""
     SELECT customer_id, {rendered_sql('valid_from valid_to')} FROM versions
     WHERE customer_id NOT IN (SELECT customer_id FROM state_2) AND valid_to = TIMESTAMP '2001-08-02'""", HISTORY)
 def _(spark, folder):
-    history = snapshot_runs(spark, folder)
-    still = segments_at(spark, folder, STATES[2], last=True).select("customer_id")
+    history = customer_segment_history(spark, snapshot_runs(spark, folder))
+    still = mart_at(spark, folder, 2).select("customer_id")
     gone = history.join(still, "customer_id", "left_anti")
     return gone.where(C("valid_to") == F.lit(STATES[2])).select("customer_id", "valid_from", "valid_to")
 
@@ -432,25 +416,18 @@ def _(spark, folder):
                 ELSE 'same' END AS outcome
     FROM state_1 a FULL JOIN state_2 b ON a.customer_id = b.customer_id""", HISTORY)
 def _(spark, folder):
-    """What the history match decides per customer, read off the versions it leaves."""
-    at, later = STATES[1], STATES[2]
-    before = segments_at(spark, folder, at, last=False)
-    history = customer_segments_snapshot(None, before, at)
-    after = customer_segments_snapshot(history, segments_at(spark, folder, later, last=True), later)
-    opened = F.bool_or(C("valid_from") == F.lit(later))
-    closed = F.bool_or(C("valid_to").isNotNull())
-    outcome = (
-        F.when(opened & closed, "changed").when(opened, "new")
-        .when(F.coalesce(closed, F.lit(False)), "missing").otherwise("same")
-    )
-    return after.groupBy("customer_id").agg(outcome.alias("outcome"))
+    """What the history match decides per customer."""
+    root = fresh_folder(spark, "join15")
+    snapshot_customer_segments(spark, root, mart_at(spark, folder, 1), STATES[1])
+    changes = snapshot_customer_segments(spark, root, mart_at(spark, folder, 2), STATES[2])
+    outcomes = changes.select(F.coalesce("old.customer_id", "new.customer_id").alias("customer_id"), C("_outcome").alias("outcome"))
+    versions = customer_segment_history(spark, root).select("customer_id").distinct()
+    return versions.join(outcomes, "customer_id", "left").select("customer_id", F.coalesce("outcome", F.lit("same")).alias("outcome"))
 
 
 @query("mdl11_customer_segments_snapshot", f"""
-    SELECT customer_id, customer_segment, CAST(lifetime_value AS DOUBLE) AS lifetime_value,
-           valid_to IS NULL AS is_current, md5(customer_id || '|' || strftime(valid_from, '%Y-%m-%d %H:%M:%S'))
-               AS version_key FROM versions""", HISTORY)
+    SELECT {rendered_sql(HISTORY_COLUMNS)}, valid_to IS NULL AS is_current FROM versions""", HISTORY)
 def _(spark, folder):
-    return snapshot_runs(spark, folder).select(
-        "customer_id", "customer_segment", "lifetime_value", C("valid_to").isNull().alias("is_current"),
-        C("scd_id").alias("version_key"))
+    """All columns of the history of the customer mart."""
+    return customer_segment_history(spark, snapshot_runs(spark, folder)).select(
+        *HISTORY_COLUMNS, C("valid_to").isNull().alias("is_current"))

@@ -437,5 +437,30 @@ def sql(body: str, extra: dict[str, str] | None = None) -> str:
     return (f"WITH {', '.join(heads)} " if heads else "") + body
 
 
+def variant(target: str, suffix: str, cut: dict[str, str], texts: dict[str, str]) -> dict[str, str]:
+    """``target`` and the tables between it and those of ``cut`` under names with a suffix. Tables of ``cut`` are
+    replaced by their query, and ``texts`` in all others."""
+    def leads(name: str) -> bool:
+        return name in cut or any(leads(other) for other in TABLES if other != name and re.search(rf"\b{other}\b", TABLES[name]))
+
+    def reached(name: str, seen: set[str]) -> set[str]:
+        if name not in seen and leads(name):
+            seen.add(name)
+            if name not in cut:
+                for other in TABLES:
+                    if re.search(rf"\b{other}\b", TABLES[name]):
+                        reached(other, seen)
+        return seen
+
+    names = reached(target, set())
+
+    def renamed(text: str) -> str:
+        for old, new in texts.items():
+            text = text.replace(old, new)
+        return re.sub(rf"\b({'|'.join(sorted(names))})\b", rf"\1_{suffix}", text)
+
+    return {f"{name}_{suffix}": cut[name] if name in cut else renamed(TABLES[name]) for name in TABLES if name in names}
+
+
 def model_sql(name: str) -> str:
     return f"SELECT {rendered_sql(MODEL_COLUMNS[name])} FROM {name}"
