@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
-from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, functions as F
 
 from tradewind import schemas
 from tradewind.operators import aggregates, quality, suites
@@ -14,6 +15,7 @@ from tradewind.registry.contract import rendered_sql
 from tradewind.registry.register import Register
 from tradewind.registry.relations import FOREIGN_KEY_SQL, all_orphans
 from tradewind.session import fresh_folder
+from tradewind.sources import publish
 from tradewind.sources.sinks import align
 from tradewind.sources.star_tables import RAW, warehouse
 
@@ -163,6 +165,81 @@ def _(spark, folder):
     return result
 
 
+# Two dates of every suite's table: one without repeated keys and missing values, one as it comes, with events
+# that lost their id. The gate judges structure, missing values and keys.
+GATED = {name: [check for check in suite() if check.kind in ("column_exists", "column_count", "not_null", "unique")]
+         for name, suite in suites.SUITES.items()}
+CLEAN_DAY, SPOILED_DAY = date(2001, 7, 1), date(2001, 7, 2)
+
+
+def columns_of(name: str, kind: str) -> list[str]:
+    return [check.column for check in GATED[name] if check.kind == kind]
+
+
+def clean_rows(rows: DataFrame, name: str) -> DataFrame:
+    kept = rows.dropna(subset=columns_of(name, "not_null"))
+    for column in columns_of(name, "unique"):
+        single = rows.groupBy(column).count().where("count = 1").select(column)
+        kept = kept.join(single, column, "left_semi")
+    return kept.select(*rows.columns)
+
+
+def spoiled_rows(rows: DataFrame) -> DataFrame:
+    if "event_id" not in rows.columns:
+        return rows
+    return rows.withColumn("event_id", F.when(C("kafka_offset") % 100 != 7, C("event_id")))
+
+
+def gated_sql(name: str) -> dict[str, str]:
+    schema = schemas.BATCH_TABLES.get(name) or schemas.landed(name)
+    whole = " AND ".join(f"{column} IS NOT NULL" for column in columns_of(name, "not_null"))
+    single = "".join(f" AND {column} IN (SELECT {column} FROM checked_{name} GROUP BY {column} HAVING count(*) = 1)"
+                     for column in columns_of(name, "unique"))
+    lost = " REPLACE (CASE WHEN kafka_offset % 100 <> 7 THEN event_id END AS event_id)" if "event_id" in schema.names else ""
+    tables = {f"checked_{name}": checked_sql(name), f"clean_{name}": f"SELECT * FROM checked_{name} WHERE {whole}{single}",
+              f"spoiled_{name}": f"SELECT *{lost} FROM checked_{name}"}
+    return tables | {f"gate_{day}_{name}": suite_sql(f"{day}_{name}", schema.names, name, GATED[name]) for day in ("clean", "spoiled")}
+
+
+GATES = {}
+for _name in suites.SUITES:
+    GATES |= gated_sql(_name)
+
+
+@query("dq12_staged_loads", " UNION ALL ".join(f"""
+    SELECT '{name}' AS suite, '{day}' AS load_day, failed, CASE WHEN failed = 0 THEN n ELSE 0 END AS arrived,
+           CASE WHEN failed = 0 THEN 0 ELSE n END AS still_staged
+    FROM (SELECT (SELECT count(*) FROM {kind}_{name}) AS n,
+                 (SELECT count(*) FILTER (NOT success) FROM gate_{kind}_{name}) AS failed)"""
+    for name in suites.SUITES for kind, day in (("clean", CLEAN_DAY), ("spoiled", SPOILED_DAY))), GATES)
+def _(spark, folder):
+    """What arrives in the tables when a clean and a spoiled date are staged, judged and published."""
+    result = None
+    for name in suites.SUITES:
+        where = publish.Staging(*[fresh_folder(spark, f"dq12-{name}-{part}") for part in ("staged", "table", "results")])
+        rows, failed = checked_table(spark, folder, name), {}
+        for day, load in ((CLEAN_DAY, clean_rows(rows, name)), (SPOILED_DAY, spoiled_rows(rows))):
+            publish.stage(load, where, "load_day", f"{day}")
+            try:
+                publish.publish(spark, name, where, "load_day", [f"{day}"], GATED[name])
+                publish.clear(spark, where, "load_day", [f"{day}"])
+            except quality.QualityError as error:
+                failed[f"{day}"] = len(error.failures)
+        days = spark.createDataFrame([(name, f"{day}", failed.get(f"{day}", 0)) for day in (CLEAN_DAY, SPOILED_DAY)],
+                                     "suite string, load_day string, failed bigint")
+        for label, path in (("arrived", where.table), ("still_staged", where.staged)):
+            try:
+                stored = spark.read.schema(rows.schema.add("load_day", "string")).parquet(path)
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":  # no load was let through
+                    raise
+                stored = spark.createDataFrame([], rows.schema.add("load_day", "string"))
+            counts = stored.groupBy(C("load_day").cast("string").alias("load_day")).agg(F.count("*").alias(label))
+            days = days.join(counts, "load_day", "left").na.fill(0, [label])
+        result = days if result is None else result.unionByName(days)
+    return result.select("suite", "load_day", "failed", "arrived", "still_staged")
+
+
 # Column tests of the models, by kind of test.
 def model_tests(kind: str):
     return {model: [check for check in suites.model_checks(model) if check.kind == kind]

@@ -231,6 +231,30 @@ def _(spark, folder):
     return accepted.unionByName(refused)
 
 
+@query("snk10_mixed_type_files", """
+    SELECT event_id, CASE WHEN bad THEN NULL ELSE time_on_page_ms END AS time_on_page_ms, kafka_offset AS position,
+           CASE WHEN bad THEN 'time_on_page_ms' ELSE '' END AS rejected
+    FROM (SELECT *, kafka_partition = 1 AND kafka_offset % 50 = 0 AS bad FROM raw_clickstream)""")
+def _(spark, folder):
+    """Files of one topic with the same column as number, text and double: each row loads or is rejected."""
+    layout = topic_layout(spark, "snk10")
+    clicks = raw(spark, folder, "clickstream").select(*schemas.landed("clickstream").names)
+    text = F.when(C("kafka_offset") % 50 == 0, "n/a").otherwise(C("time_on_page_ms").cast("string"))
+    parts = {
+        0: clicks, 1: clicks.withColumn("time_on_page_ms", text),
+        2: clicks.withColumn("kafka_offset", C("kafka_offset").cast("double")).withColumnRenamed("page_url", "PAGE_URL"),
+        3: clicks.withColumn("campaign", F.lit("spring")),
+    }
+    for number, rows in parts.items():
+        sinks.write_parquet(rows.where(C("kafka_partition") == number), layout.landed, mode="append")
+    topic_load.load_new_files(spark, "clickstream", layout, registry.SOURCES["clickstream"].schema)
+    loaded = spark.read.parquet(layout.table).select("event_id", "time_on_page_ms", C("kafka_offset").alias("position"), F.lit("").alias("rejected"))
+    refused = spark.read.parquet(layout.rejects).select(
+        "event_id", F.lit(None).cast(loaded.schema["time_on_page_ms"].dataType).alias("time_on_page_ms"),
+        C("kafka_offset").cast("bigint").alias("position"), C("_rejected").alias("rejected"))
+    return loaded.unionByName(refused)
+
+
 def topic_layout(spark, name):
     return topic_load.TopicLayout(*[fresh_folder(spark, f"{name}-{part}")
                                     for part in ("landed", "table", "rejects", "manifest")])

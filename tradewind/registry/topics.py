@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from tradewind import schemas
 from tradewind.operators import suites
-from tradewind.plans import intermediate, staging
+from tradewind.plans import intermediate, staging, topic_load
 from tradewind.registry.contract import MODEL_COLUMNS, rendered_sql
 from tradewind.registry.register import Register
 from tradewind.session import fresh_folder
+from tradewind.sources.registry import SOURCES
 from tradewind.sources.star_tables import RAW, RULES, warehouse
 from tradewind.streaming import gate, ingest, versions
 
@@ -233,3 +234,16 @@ def _(spark, folder):
         "_loaded_at": C("ingested_at"), "_source_file": F.lit("stream")})
     return intermediate.int_clickstream_sessionized(staging.stg_clickstream(clicks)).select(
         "session_id", "user_id", "total_events", "unique_pages_viewed", "funnel_stage", "session_quality")
+
+
+PATH_COLUMNS = [name for name in MODEL_COLUMNS["stg_clickstream"] if name not in ("ingested_at", "_loaded_at", "_source_file")]
+
+
+@query("str10_topic_to_staging", f"SELECT {rendered_sql(PATH_COLUMNS)} FROM stg_clickstream")
+def _(spark, folder):
+    """The whole path of a topic: landed by a stream, discovered, staged behind the gate, published, staged as a model."""
+    landed = run_topics(spark, folder, "clickstream")["clickstream"]
+    layout = topic_load.TopicLayout(landed, *[fresh_folder(spark, f"str10-{part}") for part in ("table", "rejects", "manifest")])
+    checks = [check for check in suites.clickstream() if check.kind in ("column_exists", "column_count", "not_null", "unique")]
+    topic_load.load_new_files(spark, "clickstream", layout, SOURCES["clickstream"].schema, checks)
+    return staging.stg_clickstream(spark.read.parquet(layout.table)).select(*PATH_COLUMNS)

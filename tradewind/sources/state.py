@@ -18,9 +18,15 @@ MANIFEST = T.StructType([
     T.StructField("path", T.StringType()),
     T.StructField("load_id", T.IntegerType()),
 ])
+# Files a discovery has staged, with the columns each one has.
+FOUND = T.StructType([
+    T.StructField("path", T.StringType()),
+    T.StructField("columns", T.ArrayType(T.StringType())),
+    T.StructField("load_id", T.IntegerType()),
+])
 
 
-def _read(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+def read_state(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """The state written so far; an empty table before the first run."""
     try:
         return spark.read.schema(schema).parquet(folder)
@@ -32,7 +38,7 @@ def _read(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
 
 def watermarks(spark: SparkSession, folder: str) -> DataFrame:
     """One row per table."""
-    return _read(spark, folder, WATERMARK)
+    return read_state(spark, folder, WATERMARK)
 
 
 def last_extracted(spark: SparkSession, folder: str, table: str) -> datetime | None:
@@ -59,7 +65,7 @@ def advance(spark: SparkSession, folder: str, mark: DataFrame) -> None:
 
 def manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Files loaded so far and the load each one belongs to."""
-    return _read(spark, folder, MANIFEST)
+    return read_state(spark, folder, MANIFEST)
 
 
 def pending(files: DataFrame, loaded: DataFrame) -> DataFrame:
