@@ -139,11 +139,14 @@ def merge(many: int):
     def run(table: pa.Table) -> pa.Table:
         point, near, score = (np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
                               for name, kind in (("point", "<i8"), ("near", "<i8"), ("score", "<f4")))
-        order = np.lexsort((near, -score, point))
+        # a link that was met twice may differ in the last bit of its score: the best copy stays
+        order = np.lexsort((-score, near, point))
         point, near, score = point[order], near[order], score[order]
-        new = np.ones(len(point), bool)  # a link met twice has one score, so its copies are neighbours
+        new = np.ones(len(point), bool)
         new[1:] = (point[1:] != point[:-1]) | (near[1:] != near[:-1])
         point, near, score = point[new], near[new], score[new]
+        order = np.lexsort((near, -score, point))
+        point, near, score = point[order], near[order], score[order]
         heads = np.flatnonzero(np.concatenate([[True], point[1:] != point[:-1]]))
         sizes = np.diff(np.append(heads, len(point)))
         kept = np.arange(len(point)) - np.repeat(heads, sizes) < many
@@ -320,9 +323,9 @@ def search(graph: DataFrame, codes: DataFrame, asked: DataFrame, width: int) ->
         own = pool.to_pylist()[0]
         near, scores = np.array(own["near"], np.int64), np.array(own["scores"], np.float32)
         if reached.num_rows:
-            others = reached.column("other").to_numpy()
+            others, first = np.unique(reached.column("other").to_numpy(), return_index=True)
             new = ~np.isin(others, near)
-            found = decoded(reached.column("code"), width)[new] @ (np.frombuffer(own["code"], np.int8).astype(np.float32) / 127)
+            found = decoded(reached.column("code").take(first), width)[new] @ (np.frombuffer(own["code"], np.int8).astype(np.float32) / 127)
             near, scores = np.concatenate([near, others[new]]), np.concatenate([scores, found])
         order = np.lexsort((near, -scores))[:WIDTH]
         near, scores = near[order], scores[order]
@@ -360,7 +363,7 @@ def exact(found: DataFrame, sources: DataFrame, width: int, k: int) -> DataFrame
             yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("point"), pa.array((a * b).sum(1))],
                                              names=["query", "point", "score"])
 
-    pairs = found.select("query", F.explode(F.slice("near", 1, RESCORED * k)).alias("point"))
+    pairs = found.select("query", F.explode(F.slice(F.array_distinct("near"), 1, RESCORED * k)).alias("point"))
     scored = (pairs.join(sources.select(F.col("point").alias("query"), "v"), "query")
               .join(sources.select("point", F.col("v").alias("w")), "point")
               .select("query", "point", "v", "w").mapInArrow(score, "query bigint, point bigint, score double"))
@@ -371,7 +374,9 @@ def exact(found: DataFrame, sources: DataFrame, width: int, k: int) -> DataFrame
 def nearest(rows: DataFrame, k: int = 5, every: int = 50, vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score for each row whose vec_id is divisible by `every`, against all others."""
     good = rows.where(usable(F.col(vector)) & F.exists(vector, lambda x: x != 0) & F.col("vec_id").isNotNull())
-    plain = good.select("vec_id", F.col(vector).cast("array<float>").alias("v")).distinct()
+    kind = rows.schema[vector].dataType.simpleString()
+    exactly = kind if kind == "array<float>" else "array<double>"
+    plain = good.select("vec_id", F.col(vector).cast(exactly).alias("v")).distinct()
     named = materialize(with_point(plain), "vectors")
     sources = materialize(points(named.select("vec_id", "v"), k + 1), "points")
     size = sources.agg(F.count("*"), F.max(F.size("v"))).first()
