@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -217,6 +218,31 @@ def test_base_patterns_and_field(spark, odd):
     assert pii.find(odd.limit(0), field).count() == 0
 
 
+def test_a_megabyte_without_a_break_takes_little_time(spark):
+    field = pii.trained(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    for text in ("a" * 1_000_000 + " [at] x@", "1" * 500_000 + "@" + "b" * 500_000, "a.b-" * 250_000, "x@ " * 200_000):
+        started = time.perf_counter()
+        pii.all_spans(text, field)
+        assert time.perf_counter() - started < 5
+
+
+def test_spelled_mailboxes_equal_the_plain_pattern():
+    plain = re.compile(r"[A-Za-z0-9._%+-]+(?:@| ?[\[(] ?at ?[\])] ?)[A-Za-z0-9-]+(?:(?:\.| ?[\[(] ?dot ?[\])] ?)[A-Za-z0-9-]+)*")
+    chance = random.Random(3)
+    for _ in range(5000):
+        text = "".join(chance.choice(["a", "@", ".", " ", "[at]", "(at )", " [ dot ] ", "-", "b_", "(", "at"]) for _ in range(chance.randint(0, 25)))
+        assert list(pii.mailboxes(text, pii.SURE, pii.SPELLED)) == [m.span() for m in plain.finditer(text)]
+
+
+def test_many_rows_of_one_id_teach_as_one(spark):
+    rows = [(7, f"call +49 30 1234567 or {i}") for i in range(3000)] + [(8, "mail a@b.org")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    pii.trained(docs)
+    labels = spark.createDataFrame([(7, 1), (8, 0)], "doc_id bigint, quality int")
+    assert quality.rate(docs.limit(5), quality.train(docs, labels)).count() == 5
+    assert quality.rate(docs.limit(0), quality.train(docs.limit(0), labels)).count() == 0
+
+
 @pytest.mark.parametrize("doubt", [5.0, 5.9, 6.2])
 def test_field_reaches_all_repeats_of_an_entity(doubt):
     text = "call +49 30 1234567 now" + ", or 49 30 1234567 now" * 30
@@ -323,6 +349,20 @@ def test_topk_equals_brute_force(vectors):
     assert collected(knn_join.nearest(few)) == sorted(brute(few, product, finite), key=str)
 
 
+def test_topk_of_large_components_and_split_cells(spark, monkeypatch):
+    for name, value in (("PER_PIVOT", 40), ("PIVOTS", (4, 8)), ("PER_GROUP", 5), ("PER_PART", 30)):
+        monkeypatch.setattr(knn_join, name, value)
+    random_ = np.random.default_rng(8)
+    rows = [(i, (random_.standard_normal(5) * 10.0 ** random_.integers(-2, 3)).tolist()) for i in range(400)]
+    rows += [(1000 + i, (np.array([1, 1, 1, 1, 1]) + 0.01 * random_.standard_normal(5)).tolist()) for i in range(250)]  # one dense cell
+    rows += [(2000, [1e7, 0.5, 0.0, 0.0, 0.0]), (2001, [0.5, 1e7, 1.0, 0.0, 0.0]), (2050, [0.5, 0.0, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame([(*r, "clash", 1) for r in rows], "vec_id bigint, embedding array<double>, rank string, score int")
+    product = lambda a, b: sum(int(np.floor(256 * x)) * int(np.floor(256 * y)) for x, y in zip(a, b, strict=True))
+    got = collected(knn_join.nearest(df))
+    assert got == sorted(brute(df, product, finite), key=str)
+    assert (2050, 1, 2000, 327680000000) in got
+
+
 def test_nn_descent_recall(vectors):
     cosine = lambda a, b: round(float(np.dot(a, b) / np.linalg.norm(a) / np.linalg.norm(b)), 9)
     wanted = list(brute(vectors, cosine, lambda v: finite(v) and any(v)))
@@ -353,6 +393,29 @@ def test_nn_descent_recall_over_many_leaves(spark, monkeypatch):
     assert len(got) == len(wanted) and len(got & wanted) >= 0.9 * len(wanted)
 
 
+def test_a_link_met_twice_is_one_link():
+    """Copies of a link whose scores differ in the last bit, with another link between them."""
+    score = np.array([0.5, np.nextafter(np.float32(0.5), np.float32(1)), 0.5, 0.4], np.float32)
+    table = nn_descent.links(np.array([3, 3, 3, 3]), np.array([9, 9, 4, 8]), score, 1)
+    found = nn_descent.merge(3)(table).to_pylist()
+    assert [r["near"] for r in found] == [[9, 4, 8]]
+
+
+def test_nn_descent_answers_name_a_row_once(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+    got = nn_descent.nearest(rows).collect()
+    assert len({(r["query_id"], r["vec_id"]) for r in got}) == len(got) == 200
+    vectors = {r["vec_id"]: np.array(r["embedding"], float) for r in rows.collect()}
+    names = np.array(sorted(vectors))
+    own = np.array([vectors[i] / np.linalg.norm(vectors[i]) for i in names])
+    wanted = set()
+    for q in names[names % 50 == 0]:
+        scores = own @ own[names == q][0]
+        scores[names == q] = -2
+        wanted |= {(int(q), int(i)) for i in names[np.lexsort((names, -scores))[:5]]}
+    assert len(wanted & {(r["query_id"], r["vec_id"]) for r in got}) >= 0.95 * len(wanted)
+
+
 def test_every_operator_is_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in registry.queries())
-    assert numbers == list(range(1, 11)) and registry.oracle_sql().keys() <= registry.queries().keys()
+    assert numbers == list(range(1, 14)) and registry.oracle_sql().keys() <= registry.queries().keys()

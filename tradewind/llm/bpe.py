@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from tradewind.llm.common import shared
 from tradewind.llm.pretokens import Splitter
 
-CACHE = 400_000  # pre-tokens remembered by a worker process
+CACHE = 200_000  # pre-tokens remembered by a worker process
 STEP, SPREAD, WORD = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, (1 << 64) - 1  # odd multipliers for mixing hashes
 
 

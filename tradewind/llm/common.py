@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import pickle
 import sys
 import types
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tradewind.session import fresh_folder
 
@@ -33,6 +37,35 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Give memory that is free in this process back to the machine, where its allocators can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def aside(docs: DataFrame) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """doc_id and text of docs, with all other columns as one value under a name that clashes with none; and a
+    function that makes the columns of docs from such rows again, in which named ones may be replaced."""
+    others, kept = [c for c in docs.columns if c not in ("doc_id", "text")], f"kept_{uuid.uuid4().hex}"
+    narrow = docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in others), F.lit(0).alias(kept)).alias(kept))
+
+    def back(rows: DataFrame, **replaced: Column) -> DataFrame:
+        own = {c: F.col(c) if c in ("doc_id", "text") else F.col(kept)[c] for c in docs.columns}
+        return rows.select(*(replaced.get(c, column).alias(c) for c, column in own.items()))
+
+    return narrow, back
+
+
+def first_rows(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row for each key: that with the least hash of its text."""
+    others = [c for c in rows.columns if c != key]
+    least = rows.groupBy(key).agg(F.min_by(F.struct(*others), F.struct(F.xxhash64(text), F.col(text))).alias("_first"))
+    return least.select(key, "_first.*")
+
+
 def shared(spark: SparkSession, kind: str, value, make: Callable = lambda value: value) -> Callable:
     """Broadcast a value of bounded size. The function returned gives workers what `make` derives from it,
     once for each worker process; of each kind a process keeps the last one only. A process outlives the
@@ -45,6 +78,7 @@ def shared(spark: SparkSession, kind: str, value, make: Callable = lambda value:
         store = sys.modules.setdefault("_tradewind_llm", types.ModuleType("_tradewind_llm")).__dict__
         if store.get("operator") != operator:
             store["operator"], store["kept"] = operator, {}
+            release_memory()
         kept = store["kept"]
         if kept.get(kind, ("",))[0] != key:
             kept.pop(kind, None)

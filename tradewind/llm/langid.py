@@ -33,7 +33,7 @@ WIDTHS = (2, 3)
 FLOOR = -6.0       # a word counts this much against a language at most
 SWITCH = 12.0      # penalty of a switch
 RARE = 0.001       # a language uses a script that has at least this share of its words
-CACHE = 300_000
+CACHE = 100_000
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 # first code points of stretches and their scripts (fixed values)

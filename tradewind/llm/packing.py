@@ -28,7 +28,7 @@ from tokenizers import Tokenizer
 from tradewind.llm.common import materialize, shared
 from tradewind.llm.pretokens import Splitter
 
-CACHE = 400_000         # pre-tokens remembered by a worker process
+CACHE = 150_000         # pre-tokens remembered by a worker process
 ROWS_PER_SALT = 50_000  # pieces of one length that are ranked together, about
 SALTS = 4096            # at most
 

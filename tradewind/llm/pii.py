@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import shared
+from tradewind.llm.common import first_rows, shared
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
@@ -40,29 +40,38 @@ AGREE = 6.0         # potential of a link between candidates of one kind, before
 EPOCHS, RATE = 4, 0.2
 LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 # the parts of the patterns behind their first sure character
-DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+AT = re.compile("@")
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NUMBER = re.compile(r"(?<![\w.])\+?\(?[0-9](?:[\x20().-]{0,2}[0-9])+(?!\w)")
-SPELLED = re.compile(r"[A-Za-z0-9._%+-]+(?:@| ?[\[(] ?at ?[\])] ?)[A-Za-z0-9-]+(?:(?:\.| ?[\[(] ?dot ?[\])] ?)[A-Za-z0-9-]+)*")
+# a spelled mailbox: its sure part, and what follows it
+SURE = re.compile(r"@| ?[\[(] ?at ?[\])] ?")
+SPELLED = re.compile(r"[A-Za-z0-9-]+(?:(?:\.| ?[\[(] ?dot ?[\])] ?)[A-Za-z0-9-]+)*")
 BEFORE = re.compile(r"([^\W\d_]+)\W*$")
 
 
-def emails(text: str) -> Iterator[tuple[int, int]]:
-    """As the leftmost matches of the whole pattern, looked for around each @."""
-    done, at = 0, text.find("@")
-    while at >= 0:
-        start = at
+def mailboxes(text: str, sure: re.Pattern, tail: re.Pattern) -> Iterator[tuple[int, int]]:
+    """Leftmost stretches of a local part, a sure part and a tail, looked for around each sure part, so that a long
+    run of characters of local parts is walked once."""
+    done, found = 0, sure.search(text)
+    while found:
+        start, at = found.start(), found.end()
         while start > done and text[start - 1] in LOCAL:
             start -= 1
-        found = DOMAIN.match(text, at) if start < at else None
-        if found:
-            done = found.end()
+        end = tail.match(text, at) if start < found.start() else None
+        if end:
+            done = end.end()
             yield start, done
-            at = text.find("@", done)
+            found = sure.search(text, done)
         else:
-            at = text.find("@", at + 1)
+            found = sure.search(text, found.start() + 1)
+
+
+def emails(text: str) -> Iterator[tuple[int, int]]:
+    """As the leftmost matches of the whole pattern."""
+    return mailboxes(text, AT, DOMAIN) if "@" in text else iter(())
 
 
 def digits(text: str) -> str:
@@ -103,7 +112,7 @@ class Graph:
                 (m.start() + p.start(), m.start() + p.end()) for p in re.finditer(r"[^ ]+", m[0])]
             found += [(s, e, False) for s, e in parts if len(digits(text[s:e])) >= MIN_DIGITS]
         if "@" in text or "at" in text:
-            found += [(m.start(), m.end(), True) for m in SPELLED.finditer(text)]
+            found += [(s, e, True) for s, e in mailboxes(text, SURE, SPELLED)]
         covered = sorted((s, e, kind) for kind, s, e in spans)
         starts = [s for s, _, _ in covered]
         self.label = []
@@ -227,13 +236,7 @@ def all_spans(text: str, field: Field) -> tuple[list, list]:
     base = base_spans(text)
     graph = Graph(text, base)
     added = []
-    if graph.skips and 0 in graph.label:
-        chances = field.marginals(graph)
-        for (start, end), label, chance in zip(graph.spans, graph.label, chances, strict=True):
-            best = int(chance.argmax())
-            if not label and best and chance[best] > 0.5:
-                added.append((LABELS[best], start, end))
-    elif 0 in graph.label and graph.spans:
+    if 0 in graph.label:
         chances = field.marginals(graph)
         added = [(LABELS[int(c.argmax())], *span) for span, label, c in zip(graph.spans, graph.label, chances, strict=True)
                  if not label and c.argmax() and c.max() > 0.5]
@@ -255,7 +258,8 @@ def trained(docs: DataFrame, text: str = "text", at_most: int = TRAIN) -> Field:
                                 "deciding": [[" ".join(map(str, f[1])) for f in g.features] for g in made]})
 
     kind = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, label array<int>, skips array<int>, plain array<string>, deciding array<string>"
-    found = rows.join(F.broadcast(chosen), "doc_id").mapInPandas(graphs, kind).toPandas()
+    # of an id with many rows one is taken, before anything is made of it
+    found = first_rows(rows.join(F.broadcast(chosen), "doc_id")).mapInPandas(graphs, kind).toPandas()
     made = []
     for row in found.sort_values("doc_id", kind="stable").itertuples():
         graph = Graph("", [])

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import shared
+from tradewind.llm.common import first_rows, shared
 
 TRAIN = 2400       # labelled rows that the model learns from, at most
 BUCKETS = 1 << 15
@@ -31,7 +31,7 @@ WIDTHS = (2, 3)
 DIMENSIONS = 16
 EPOCHS = 6
 RATE = 1.0
-CACHE = 300_000
+CACHE = 150_000
 SAME = zlib.crc32(b"a word and its like") & BUCKETS - 1
 SAME_WEIGHT = 4    # such a pair counts like so many character n-grams
 
@@ -130,7 +130,9 @@ def train(docs: DataFrame, labels: DataFrame, at_most: int = TRAIN) -> Model:
     at most `at_most` rows and are sent to all tasks, so texts are not shuffled."""
     known = labels.where("quality in (0, 1) and doc_id is not null").select("doc_id", F.col("quality").cast("int")).distinct()
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(at_most)
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality")
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id")
+    # of an id with many rows one is taken, before anything is made of it
+    sample = first_rows(texts).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality")
 
     def bags(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
