@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from tradewind.operators.joins import known_key_share
 
@@ -131,17 +131,16 @@ def _repeated(rows: DataFrame, columns: Mapping[int, str]) -> DataFrame:
     return counted.where(F.col("n") > 1).groupBy("position").agg(F.sum("n").alias("unexpected"))
 
 
-def evaluate(rows: DataFrame, suite: str, checks: Sequence[Check],
-             parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """Result table of a suite, one row per check in the order of declaration.
-
-    NULLs leave the denominator of every check but ``not_null``. A check over no elements passes.
-    """
-    aggregates = []
+def _aggregates(rows: DataFrame, checks: Sequence[Check]) -> list[Column]:
+    found = []
     for position, check in enumerate(checks):
         elements, unexpected = _measures(rows, check)
-        aggregates += [elements.alias(f"elements_{position}"), unexpected.alias(f"unexpected_{position}")]
-    measured = rows.agg(*aggregates)
+        found += [elements.alias(f"elements_{position}"), unexpected.alias(f"unexpected_{position}")]
+    return found
+
+
+def _report(measured: DataFrame, counts: DataFrame | None, suite: str, checks: Sequence[Check]) -> DataFrame:
+    """Result table from one row of measures and, per check position, what was counted separately."""
     table = measured.select(F.explode(F.array(*[
         F.struct(
             F.lit(suite).alias("suite"),
@@ -154,24 +153,8 @@ def evaluate(rows: DataFrame, suite: str, checks: Sequence[Check],
         )
         for position, check in enumerate(checks)
     ])).alias("result")).select("result.*")
-
-    separate = []
-    uniques = {i: c.column for i, c in enumerate(checks) if c.kind == "unique" and c.column in rows.columns}
-    if uniques:
-        separate.append(_repeated(rows, uniques))
-    for position, check in enumerate(checks):
-        if check.kind == "references" and check.column in rows.columns:
-            parent, parent_column = check.values
-            share = known_key_share(rows, check.column, (parents or {})[parent], parent_column)
-            separate.append(share.select(
-                F.lit(position).alias("position"),
-                (F.col("element_count") - F.col("known_count")).alias("unexpected"),
-            ))
     unexpected = F.col("direct")
-    if separate:
-        counts = separate[0]
-        for part in separate[1:]:
-            counts = counts.unionByName(part)
+    if counts is not None:
         # at most one row per check: the hint is bounded by the length of the suite
         table = table.join(F.broadcast(counts), "position", "left")
         unexpected = F.col("direct") + F.coalesce(F.col("unexpected"), F.lit(0))
@@ -189,6 +172,63 @@ def evaluate(rows: DataFrame, suite: str, checks: Sequence[Check],
     )
 
 
+def evaluate(rows: DataFrame, suite: str, checks: Sequence[Check],
+             parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Result table of a suite, one row per check in the order of declaration.
+
+    NULLs leave the denominator of every check but ``not_null``. A check over no elements passes.
+    """
+    measured = rows.agg(*_aggregates(rows, checks))
+    separate = []
+    uniques = {i: c.column for i, c in enumerate(checks) if c.kind == "unique" and c.column in rows.columns}
+    if uniques:
+        separate.append(_repeated(rows, uniques))
+    for position, check in enumerate(checks):
+        if check.kind == "references" and check.column in rows.columns:
+            parent, parent_column = check.values
+            share = known_key_share(rows, check.column, (parents or {})[parent], parent_column)
+            separate.append(share.select(
+                F.lit(position).alias("position"),
+                (F.col("element_count") - F.col("known_count")).alias("unexpected"),
+            ))
+    counts = None
+    for part in separate:
+        counts = part if counts is None else counts.unionByName(part)
+    return _report(measured, counts, suite, checks)
+
+
+def evaluate_written(rows: DataFrame, suite: str, checks: Sequence[Check], path: str,
+                     grouped_by: str | None = None) -> DataFrame:
+    """Writes ``rows`` to the folder ``path`` and returns the result table of the suite, equal to ``evaluate``.
+
+    Row-level checks are metrics of the write itself. They are collected by the last step before the files are
+    written, whose tasks count once however often they are repeated. Uniqueness of ``grouped_by`` is counted on
+    the way as well: the caller states that rows of one value already lie together in one task, so that counting
+    them needs no further shuffle. Other unique columns, and references, are not metrics of a write:
+    unique columns are counted from what was written, reading no other column; references are refused.
+    """
+    if any(check.kind == "references" for check in checks):
+        raise ValueError(f"{suite}: references need their parents; use evaluate")
+    spark, kept = rows.sparkSession, rows.columns
+    uniques = {i: c.column for i, c in enumerate(checks) if c.kind == "unique" and c.column in kept}
+    on_the_way = [i for i, name in uniques.items() if name == grouped_by]
+    aggregates = _aggregates(rows, checks)
+    if on_the_way:
+        number = "_number" + "_" * max(map(len, kept))  # a name no column of rows has
+        rows = rows.withColumn(number, F.count(F.lit(1)).over(Window.partitionBy(grouped_by)))
+        repeats = F.count_if(F.col(grouped_by).isNotNull() & (F.col(number) > 1))
+        for i in on_the_way:
+            aggregates[2 * i + 1] = repeats.alias(f"unexpected_{i}")
+    observation = Observation()
+    rows.observe(observation, *aggregates).select(*kept).write.mode("overwrite").parquet(path)
+    names = [f"{part}_{i}" for i in range(len(checks)) for part in ("elements", "unexpected")]
+    metrics = observation.get
+    measured = spark.createDataFrame([[metrics[name] for name in names]], ", ".join(f"{name} bigint" for name in names))
+    later = {i: name for i, name in uniques.items() if i not in on_the_way}
+    counts = _repeated(spark.read.parquet(path), later) if later else None
+    return _report(measured, counts, suite, checks)
+
+
 class QualityError(RuntimeError):
     """A gate did not open; carries the failed checks."""
 
