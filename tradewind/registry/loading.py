@@ -11,12 +11,14 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from tradewind import schemas
+from tradewind.functions import money
 from tradewind.operators import upsert
+from tradewind.operators.keyed_table import KeyedTable
 from tradewind.plans import batch_load, staging, topic_load
 from tradewind.plans.snapshot import KEPT, customer_segment_history, segment_state, snapshot_customer_segments
 from tradewind.plans.warehouse import Warehouse, publish_marts, register_views
 from tradewind.registry.contract import MODEL_COLUMNS, rendered_sql
-from tradewind.registry.oracle import AS_OF, ISO, TABLES, mean, variant
+from tradewind.registry.oracle import AS_OF, ISO, TABLES, latest, mean, variant
 from tradewind.registry.register import Register
 from tradewind.session import fresh_folder
 from tradewind.sources import files, registry, sinks, state
@@ -357,6 +359,51 @@ def _(spark, folder):
         "order_id", C("total_amount").alias("total"))
 
 
+# Tables kept by key: batches rewrite only the buckets they change.
+ITEM_TIES = ["order_id", "product_id", "quantity", "unit_price", "discount", "subtotal", "created_at"]
+
+
+@query("win01_latest_by_loads", f"""
+    SELECT order_item_id, order_id, product_id, quantity, CAST(unit_price AS DOUBLE) AS price, {rendered_sql('created_at')}
+    FROM ({latest('raw_order_items', 'order_item_id', *ITEM_TIES)})""")
+def _(spark, folder):
+    """Latest order items from three loads merged one after another, the newest first."""
+    table = KeyedTable(spark, fresh_folder(spark, "win01"), "order_item_id")
+    items, second = raw(spark, folder, "order_items"), F.to_date("_ingested_at") == F.lit(date(2001, 7, 2))
+    odd = F.coalesce(F.crc32("order_item_id") % 2 == 1, F.lit(False))
+    for name, part in (("newest", second), ("odd", ~second & odd), ("even", ~second & ~odd)):
+        table.merge_latest(items.where(part), name, ties=ITEM_TIES)
+    return table.rows().select(
+        "order_item_id", "order_id", "product_id", "quantity", C("unit_price").alias("price"), "created_at")
+
+
+@query("snk16_insert_into_table", """
+    SELECT customer_id, email, strftime(_ingested_at, '%Y-%m-%d') AS first_load FROM raw_customers
+    WHERE customer_id IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY _ingested_at) = 1""")
+def _(spark, folder):
+    """Customers inserted load by load into a stored table; rows already present stay as they are."""
+    table = KeyedTable(spark, fresh_folder(spark, "snk16"), "customer_id")
+    people = raw(spark, folder, "customers").select("customer_id", "email", "_ingested_at")
+    for day in (date(2001, 7, 1), date(2001, 7, 2)):
+        table.insert_absent(people.where(F.to_date("_ingested_at") == F.lit(day)), f"{day}", ["_ingested_at", "email"])
+    return table.rows().select("customer_id", "email", F.date_format("_ingested_at", "yyyy-MM-dd").alias("first_load"))
+
+
+@query("snk17_update_table", """
+    SELECT order_id, CAST(coalesce(t, total_amount) AS DOUBLE) AS total, t IS NOT NULL AND t IS DISTINCT FROM total_amount AS updated
+    FROM (SELECT order_id, total_amount, (SELECT round(sum(subtotal), 2) FROM stg_order_items i
+                                          WHERE i.order_id = o.order_id) AS t FROM stg_orders_history o)""")
+def _(spark, folder):
+    """Order totals refreshed from their items inside a stored table, and which rows that changed."""
+    house, table = warehouse(spark, folder), KeyedTable(spark, fresh_folder(spark, "snk17"), "order_id")
+    table.insert_absent(house.stg_orders_history.select("order_id", "customer_id", "total_amount"), "orders", ["total_amount"])
+    totals = house.stg_order_items.groupBy("order_id").agg(money.total(C("subtotal")).alias("total_amount"))
+    updated = table.update(totals, "totals", ["total_amount"]).select("order_id", F.lit(True).alias("updated"))
+    return table.rows().join(updated, "order_id", "left").select(
+        "order_id", C("total_amount").alias("total"), F.coalesce("updated", F.lit(False)).alias("updated"))
+
+
 # ------------------------------------------------------------------ history
 # The mart at three dates: order history up to that date, customers of one market leaving at the end.
 STATES = (datetime(1999, 1, 1), datetime(2000, 1, 1), datetime(2001, 8, 2))
