@@ -22,7 +22,9 @@ from tradewind.registry.oracle import AS_OF, ISO, TABLES, latest, mean, variant
 from tradewind.registry.register import Register
 from tradewind.session import fresh_folder
 from tradewind.sources import files, registry, sinks, state
+from tradewind.sources.evolving import EvolvingTable
 from tradewind.sources.extract import as_landed, as_text, since
+from tradewind.sources.ranges import plan_ranges
 from tradewind.sources.star_tables import RAW, warehouse
 
 REGISTER = Register()
@@ -53,6 +55,21 @@ def _(spark, folder):
     return since(raw(spark, folder, "order_items").drop("_ingested_at"), "created_at", None)
 
 
+@query("src01_extract_by_ranges", f"""
+    SELECT order_id, customer_id, {rendered_sql('total_amount')}, 1 AS ranges FROM raw_orders_history""")
+def _(spark, folder):
+    """All orders, read range by range: the cuts come from the second load, a hot customer would be cut by amount."""
+    orders = raw(spark, folder, "orders_history").withColumn("place", F.crc32("customer_id"))
+    known = orders.where(C("_ingested_at") == F.lit("2001-07-02").cast("timestamp"))
+    conditions = plan_ranges(known, "place", 8, tie="total_amount")
+    parts = [orders.where(condition) for condition in conditions]
+    found = sum(F.coalesce(F.expr(condition), F.lit(False)).cast("int") for condition in conditions)
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionAll(part)
+    return result.select("order_id", "customer_id", "total_amount", found.alias("ranges"))
+
+
 @query("src02_incremental_extract", f"""
     SELECT customer_id, email, {rendered_sql('created_at')} FROM raw_customers
     WHERE created_at > TIMESTAMP '1994-03-31'""")
@@ -338,6 +355,23 @@ def _(spark, folder):
     return files.read_files(spark, path).select("event_id", "session_id", "referrer")
 
 
+@query("snk15_schema_versions", """
+    SELECT event_id, CAST(time_on_page_ms AS DOUBLE) AS millis, CASE WHEN kafka_partition >= 1 THEN referrer END AS referrer,
+           CASE WHEN kafka_partition < 2 THEN session_id END AS session_id,
+           least(kafka_partition, 2) AS written_under
+    FROM raw_clickstream""")
+def _(spark, folder):
+    """Three generations of clicks: whole numbers become wider, then decimals, one column comes and one goes."""
+    table, clicks = EvolvingTable(spark, fresh_folder(spark, "snk15-versions")), raw(spark, folder, "clickstream")
+    shapes = (("int", ["session_id"]), ("bigint", ["session_id", "referrer"]), ("decimal(20,2)", ["referrer"]))
+    for n, (kind, columns) in enumerate(shapes):
+        part = clicks.where(F.least("kafka_partition", F.lit(2)) == n)
+        table.append(part.select("event_id", C("time_on_page_ms").cast(kind).alias("time_on_page_ms"),
+                                 "kafka_partition", *columns), f"generation {n}")
+    return table.read().select("event_id", C("time_on_page_ms").alias("millis"), "referrer", "session_id",
+                               F.least("kafka_partition", F.lit(2)).alias("written_under"))
+
+
 @query("snk16_insert_if_absent", """
     SELECT customer_id, email FROM raw_customers
     QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY _ingested_at) = 1""")

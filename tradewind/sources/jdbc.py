@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,15 +18,36 @@ INCREMENTAL_COLUMNS = {
 }
 
 
+PARTS = 16  # connections side by side, unless told otherwise
+
+
+def bounds_of(spark: SparkSession, url: str, table: str, properties: Mapping[str, str], column: str) -> tuple[str, str] | None:
+    """Least and greatest value of a column, found by the database; None without values."""
+    question = f"SELECT min({column}) AS low, max({column}) AS high FROM {table}"
+    row = spark.read.format("jdbc").options(url=url, query=question, **properties).load().first()
+    return None if row is None or row["low"] is None else (str(row["low"]), str(row["high"]))
+
+
 def read_table(spark: SparkSession, url: str, table: str, properties: Mapping[str, str],
-               column: str | None = None, bounds: tuple[str, str] | None = None, parts: int = 1,
-               fetch_size: int = 10_000) -> DataFrame:
-    """Whole table. With ``column`` and ``bounds`` it is read in ``parts`` ranges side by side;
-    the bounds only place the cuts, rows beyond them are read as well."""
-    options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), **properties}
-    if column and bounds and parts > 1:
-        options |= {"partitionColumn": column, "lowerBound": bounds[0], "upperBound": bounds[1],
-                    "numPartitions": str(parts)}
+               column: str | None = None, bounds: tuple[str, str] | None = None, parts: int = PARTS,
+               ranges: Sequence[str] | None = None, fetch_size: int = 10_000) -> DataFrame:
+    """Whole table, in ranges side by side.
+
+    ``ranges`` are conditions such as ``plan_ranges`` makes from the last extract; they fit a skewed column. Otherwise
+    ``column``, by default the one that orders the table's rows, is cut into ``parts`` equal ranges between ``bounds``,
+    which the database is asked for where they are not given. Bounds only place the cuts: rows beyond them and rows
+    without a value are read as well. A table without such a column is read over one connection.
+    """
+    properties = {"fetchsize": str(fetch_size), **properties}
+    if ranges:
+        return spark.read.jdbc(url, table, predicates=list(ranges), properties=properties)
+    options = {"url": url, "dbtable": table, **properties}
+    column = column or INCREMENTAL_COLUMNS.get(table.rsplit(".", 1)[-1])
+    if column and parts > 1:
+        bounds = bounds or bounds_of(spark, url, table, properties, column)
+        if bounds:
+            options |= {"partitionColumn": column, "lowerBound": bounds[0], "upperBound": bounds[1],
+                        "numPartitions": str(parts)}
     return spark.read.format("jdbc").options(**options).load()
 
 
