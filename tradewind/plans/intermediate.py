@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tradewind.functions import classify, money, temporal
 from tradewind.operators.aggregates import commonest
@@ -99,41 +99,14 @@ def int_streaming_orders_enriched(events: DataFrame, customers: DataFrame,
     )
 
 
-def int_clickstream_sessionized(clicks: DataFrame,
-                                active_events: int = classify.ACTIVE_SESSION_EVENTS) -> DataFrame:
-    """One row per session.
+SESSION_FLAGS = {f"has_{name.lower()}": name
+                 for name in ("PAGE_VIEW", "PRODUCT_VIEW", "ADD_TO_CART", "CHECKOUT", "PURCHASE")}
 
-    Distinct counts and the most frequent user come from one narrow, counted projection instead of
-    three distinct aggregates, which would quadruple the wide rows. Every shuffle sends combined
-    rows, so a session that holds a third of the clicks is spread by page, product, category and user.
-    """
-    # A missing session id is a session of its own; two plain keys keep both sides co-partitioned.
-    keyed = clicks.withColumns({
-        "_key": F.coalesce(F.col("session_id"), F.lit("")),
-        "_unnamed": F.col("session_id").isNull(),
-    })
-    keys = ["_key", "_unnamed"]
-
-    facets = {"pages": "page_url", "products": "product_id", "categories": "category", "users": "user_id"}
-    entries = F.array(*[
-        F.struct(F.lit(facet).alias("facet"), F.col(name).alias("value")) for facet, name in facets.items()
-    ])
-    counted = (
-        keyed.select(*keys, F.explode(entries).alias("entry")).select(*keys, "entry.*")
-        .where(F.col("value").isNotNull())
-        .groupBy(*keys, "facet", "value").agg(F.count("*").alias("clicks"))
-    )
-    user_rows = counted.withColumn("user", F.when(F.col("facet") == "users", F.col("value")))
-    variety = user_rows.groupBy(*keys).agg(
-        *[F.count_if(F.col("facet") == facet).alias(facet) for facet in ("pages", "products", "categories")],
-        commonest("user", "clicks").alias("user_id"),
-    )
 
+def session_measures() -> list[Column]:
+    """What the clicks of a session add up to, but for distinct counts and the user."""
     moment = [F.col("event_timestamp"), F.col("event_id")]
-    flags = {f"has_{name.lower()}": F.bool_or(F.col("event_type") == name)
-             for name in ("PAGE_VIEW", "PRODUCT_VIEW", "ADD_TO_CART", "CHECKOUT", "PURCHASE")}
-    activity = keyed.groupBy(*keys).agg(
-        F.min("session_id").alias("session_id"),
+    return [
         F.bool_or(~F.col("is_anonymous")).alias("has_authenticated_event"),
         F.min(F.struct(*moment, "device_type", "browser", "page_url", "referrer")).alias("entry"),
         F.max(F.struct(*moment, "page_url")).alias("exit"),
@@ -142,15 +115,18 @@ def int_clickstream_sessionized(clicks: DataFrame,
         F.count("*").alias("total_events"),
         money.total(F.col("time_on_page_sec")).alias("total_time_on_site_sec"),
         F.count("time_on_page_sec").alias("timed_events"),
-        *[flag.alias(name) for name, flag in flags.items()],
-    )
+        *[F.bool_or(F.col("event_type") == name).alias(flag) for flag, name in SESSION_FLAGS.items()],
+    ]
+
 
+def session_facts(sessions: DataFrame, active_events: int = classify.ACTIVE_SESSION_EVENTS) -> DataFrame:
+    """The columns of a session, from its measures, distinct counts (``pages``, ``products``, ``categories``) and user."""
     zero = F.lit(0).cast("bigint")
     reached = {"product_view": F.col("has_product_view"), "add_to_cart": F.col("has_add_to_cart"),
                "checkout": F.col("has_checkout"), "purchase": F.col("has_purchase")}
     quality = classify.session_quality(F.col("has_purchase"), F.col("has_add_to_cart"),
                                        F.col("total_events"), active_events)
-    return activity.join(variety, keys, "left").select(
+    return sessions.select(
         "session_id", "user_id", "has_authenticated_event",
         F.col("entry.device_type").alias("device_type"), F.col("entry.browser").alias("browser"),
         "session_start", "session_end",
@@ -163,12 +139,46 @@ def int_clickstream_sessionized(clicks: DataFrame,
         money.average(F.col("total_time_on_site_sec"), F.col("timed_events")).alias("avg_time_per_page_sec"),
         F.col("entry.page_url").alias("entry_page"), F.col("exit.page_url").alias("exit_page"),
         F.col("entry.referrer").alias("referrer"),
-        *flags,
+        *SESSION_FLAGS,
         classify.funnel_stage(reached).alias("funnel_stage"),
         quality.alias("session_quality"),
     )
 
 
+def int_clickstream_sessionized(clicks: DataFrame,
+                                active_events: int = classify.ACTIVE_SESSION_EVENTS) -> DataFrame:
+    """One row per session.
+
+    Distinct counts and the most frequent user come from one narrow, counted projection instead of
+    three distinct aggregates, which would quadruple the wide rows. Every shuffle sends combined
+    rows, so a session that holds a third of the clicks is spread by page, product, category and user.
+    """
+    # A missing session id is a session of its own; two plain keys keep both sides co-partitioned.
+    keyed = clicks.withColumns({
+        "_key": F.coalesce(F.col("session_id"), F.lit("")),
+        "_unnamed": F.col("session_id").isNull(),
+    })
+    keys = ["_key", "_unnamed"]
+
+    facets = {"pages": "page_url", "products": "product_id", "categories": "category", "users": "user_id"}
+    entries = F.array(*[
+        F.struct(F.lit(facet).alias("facet"), F.col(name).alias("value")) for facet, name in facets.items()
+    ])
+    counted = (
+        keyed.select(*keys, F.explode(entries).alias("entry")).select(*keys, "entry.*")
+        .where(F.col("value").isNotNull())
+        .groupBy(*keys, "facet", "value").agg(F.count("*").alias("clicks"))
+    )
+    user_rows = counted.withColumn("user", F.when(F.col("facet") == "users", F.col("value")))
+    variety = user_rows.groupBy(*keys).agg(
+        *[F.count_if(F.col("facet") == facet).alias(facet) for facet in ("pages", "products", "categories")],
+        commonest("user", "clicks").alias("user_id"),
+    )
+
+    activity = keyed.groupBy(*keys).agg(F.min("session_id").alias("session_id"), *session_measures())
+    return session_facts(activity.join(variety, keys, "left"), active_events)
+
+
 def with_stock_health(inventory: DataFrame, ceilings: Sequence = classify.STOCK_CEILINGS) -> DataFrame:
     return inventory.withColumn("stock_health", classify.stock_health(F.col("quantity_after"), ceilings))
 

@@ -16,7 +16,7 @@ from tradewind.registry.register import Register
 from tradewind.session import fresh_folder
 from tradewind.sources.registry import SOURCES
 from tradewind.sources.star_tables import RAW, RULES, warehouse
-from tradewind.streaming import gate, ingest, versions
+from tradewind.streaming import gate, ingest, sessions, versions
 
 REGISTER = Register()
 query = REGISTER.query
@@ -236,6 +236,19 @@ def _(spark, folder):
         "session_id", "user_id", "total_events", "unique_pages_viewed", "funnel_stage", "session_quality")
 
 
+@query("str09_closed_sessions", f"""
+    SELECT {rendered_sql(MODEL_COLUMNS['int_clickstream_sessionized'])} FROM int_clickstream_sessionized
+    WHERE session_end + INTERVAL 1 DAY <= (SELECT max(event_timestamp) FROM stg_clickstream) - INTERVAL 1 HOUR""")
+def _(spark, folder):
+    """Sessions a stream has emitted because the watermark passed them by a day; those of the last day are open still."""
+    clicks = ingest.parse_topic(ingest.read_topic_files(spark, store_topic(spark, folder, "clickstream")), schemas.CLICKSTREAM)
+    staged = staging.stg_clickstream(clicks.withColumns({"_loaded_at": C("ingested_at"), "_source_file": F.lit("stream")}))
+    target, progress = fresh_folder(spark, "str09"), fresh_folder(spark, "str09-progress")
+    closing = sessions.closing_sessions(staged, "1 day", "1 hour", RULES.active_session_events)
+    sessions.land_sessions(closing, target, progress, NOW).awaitTermination()
+    return spark.read.parquet(target).select(*MODEL_COLUMNS["int_clickstream_sessionized"])
+
+
 PATH_COLUMNS = [name for name in MODEL_COLUMNS["stg_clickstream"] if name not in ("ingested_at", "_loaded_at", "_source_file")]
 
 
