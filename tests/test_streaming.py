@@ -99,6 +99,18 @@ def test_repeated_batch_replaces_itself(spark, tmp_path):
     assert counted == {0: (5, 12, 7), 1: (12, 12, 0)}
 
 
+def test_all_versions_are_counted_in_one_scan(spark, tmp_path):
+    good = f"{tmp_path}/good"
+    write = gate.gated_batch("t", [], good, f"{tmp_path}/bad")
+    for batch, rows in enumerate((3, 0, 4)):
+        write(spark.range(rows), batch)
+    counted = versions.version_counts(spark, good, [2, 0, 1, 0])
+    assert sorted(map(tuple, counted.select("version", "version_rows", "rows_added").collect())) == [
+        (0, 3, 4), (1, 3, 4), (2, 7, 0)]
+    plan = counted._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 1 and "ReadSchema: struct<>" in plan
+
+
 def test_repeated_batch_moves_when_judged_differently(spark, tmp_path):
     good, bad = f"{tmp_path}/good", f"{tmp_path}/bad"
     rows = spark.createDataFrame([(None,), ("a",)], "event_id string")

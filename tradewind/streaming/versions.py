@@ -22,22 +22,29 @@ def read_version(spark: SparkSession, path: str, version: int, format: str = "pa
 
 
 def version_counts(spark: SparkSession, path: str, versions: list[int], format: str = "parquet") -> DataFrame:
-    """Rows of the given versions, rows now, and rows added since; one row per version."""
-    now = read_current(spark, path, format).agg(F.count("*").alias("rows"))
-    counts = now.select(F.lit(None).cast("int").alias("version"), "rows")
-    for version in versions:
-        then = read_version(spark, path, version, format).agg(F.count("*").alias("rows"))
-        counts = counts.unionByName(then.select(F.lit(version).alias("version"), "rows"))
-    # the current count takes part in the row of every version
-    entries = F.when(F.col("version").isNull(), F.array(*map(F.lit, versions))).otherwise(F.array("version"))
-    measured = counts.select(
-        F.explode(entries).alias("version"),
-        F.when(F.col("version").isNull(), F.col("rows")).alias("current"),
-        F.when(F.col("version").isNotNull(), F.col("rows")).alias("at_version"),
-    )
-    return measured.groupBy("version").agg(
-        F.max("at_version").alias("version_rows"), F.max("current").alias("current_rows"),
-    ).withColumn("rows_added", F.col("current_rows") - F.col("version_rows"))
+    """Rows of the given versions, rows now, and rows added since; one row per version.
+
+    Versions by batch number are counted in one scan of the table, which reads no column but the batch number. A Delta
+    table has each version in files of its own, so each is scanned.
+    """
+    versions = list(dict.fromkeys(versions))
+    table = read_current(spark, path, format)
+    if format == "delta":
+        rows = table.agg(F.count("*").alias("rows")).withColumn("version", F.lit(None).cast("int"))
+        for version in versions:
+            then = read_version(spark, path, version, format).agg(F.count("*").alias("rows"))
+            rows = rows.unionByName(then.withColumn("version", F.lit(version)))
+        counts = rows.agg(F.max(F.when(F.col("version").isNull(), F.col("rows"))).alias("current_rows"),
+                          *[F.max(F.when(F.col("version") == version, F.col("rows"))).alias(f"_{version}")
+                            for version in versions])
+    else:
+        counts = table.agg(F.count("*").alias("current_rows"),
+                           *[F.count_if(F.col(BATCH) <= version).alias(f"_{version}") for version in versions])
+    measured = F.array(*[F.struct(F.lit(version).alias("version"), F.col(f"_{version}").alias("version_rows"))
+                         for version in versions])
+    return counts.select(F.explode(measured).alias("of"), "current_rows").select(
+        "of.version", "of.version_rows", "current_rows",
+        (F.col("current_rows") - F.col("of.version_rows")).alias("rows_added"))
 
 
 def audit(table: DataFrame, name: str) -> DataFrame:
