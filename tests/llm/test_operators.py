@@ -393,6 +393,22 @@ def test_nn_descent_recall_over_many_leaves(spark, monkeypatch):
     assert len(got) == len(wanted) and len(got & wanted) >= 0.9 * len(wanted)
 
 
+def test_nn_descent_recall_where_vectors_nearly_agree(spark):
+    """Tight clusters, and vectors that all point nearly the same way: one byte a component tells them not apart."""
+    random = np.random.default_rng(3)
+    middles = random.standard_normal((20, 32))
+    for own in (middles[random.integers(0, 20, 1000)] + 0.01 * random.standard_normal((1000, 32)),
+                random.standard_normal((1000, 32)) + 10):
+        own = own.astype(np.float32).astype(float)
+        rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(own)], "vec_id bigint, embedding array<double>")
+        lengths = own / np.linalg.norm(own, axis=1, keepdims=True)
+        scores = lengths[::50] @ lengths.T
+        scores[np.arange(20), np.arange(0, 1000, 50)] = -2
+        wanted = {(50 * q, int(i)) for q, near in enumerate(np.argsort(-scores, axis=1)[:, :5]) for i in near}
+        got = {(r["query_id"], r["vec_id"]) for r in nn_descent.nearest(rows).collect()}
+        assert len(got) == len(wanted) and len(got & wanted) >= 0.95 * len(wanted)
+
+
 def test_a_link_met_twice_is_one_link():
     """Copies of a link whose scores differ in the last bit, with another link between them."""
     score = np.array([0.5, np.nextafter(np.float32(0.5), np.float32(1)), 0.5, 0.4], np.float32)

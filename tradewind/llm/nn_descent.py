@@ -3,7 +3,8 @@
 The graph starts from leaves of random-hyperplane trees (shaped by a bounded sample, and by one of its own where
 a leaf is still too large) and is improved by joins of neighbours with neighbours until few links are new: every point gathers the points it links to and, up to `reverse` of them by a hash,
 those that link to it; all of these are compared with each other, and each learns of the best it met that are
-nearer than the worst it knows. Graph and walk use one byte a component. A query
+nearer than the worst it knows. Graph and walk use unit vectors in four bytes a component and compare by squared
+distance from differences, which orders as the cosine does and stays exact where vectors nearly agree. A query
 starts from its own point's links and expands the best points it knows, join by join, until all are expanded;
 the best it found are scored by their original vectors.
 Every point is indexed and every query is answered; the sample sizes (links, reverse links, beam) are the
@@ -39,6 +40,7 @@ BEAM = 48       # points that a query expands in one step
 WIDTH = 192     # points that a query remembers
 RESCORED = 6    # times k points are scored by their original vectors
 PART = 200_000  # links or members handled together, about
+FARTHEST = -3.0  # below every score: minus half the squared distance of two unit vectors
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -114,12 +116,20 @@ LINK_TABLE = "part bigint, point binary, near binary, score binary"
 
 
 def code(vectors: np.ndarray) -> pa.Array:
-    """Unit vectors in one byte a component, for building and walking the graph."""
-    return pa.array([row.tobytes() for row in np.rint(unit(vectors) * 127).astype(np.int8)], pa.binary())
+    """Unit vectors in four bytes a component, for building and walking the graph."""
+    return pa.array([row.tobytes() for row in unit(vectors).astype("<f4")], pa.binary())
 
 
 def decoded(column: pa.ChunkedArray, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.int8).reshape(-1, width).astype(np.float32) / 127
+    return np.frombuffer(b"".join(column.to_pylist()), "<f4").reshape(-1, width)
+
+
+def nearness(own: np.ndarray) -> np.ndarray:
+    """Minus half the squared distance of all pairs, from their common mean: cosine less one for unit vectors, without
+    the rounding of products near one."""
+    own = own - own.mean(-2, keepdims=True)
+    half = (own ** 2).sum(-1) / 2
+    return np.minimum(own @ np.swapaxes(own, -1, -2) - half[..., :, None] - half[..., None, :], 0)
 
 
 def links(point: np.ndarray, near: np.ndarray, score: np.ndarray, parts: int) -> pa.Table:
@@ -161,7 +171,7 @@ def meet_all(point: np.ndarray, vectors: np.ndarray, many: int) -> tuple[np.ndar
     """The `many` nearest of each point among all others: point, near, score."""
     order = np.argsort(point, kind="stable")
     point, vectors = point[order], vectors[order]
-    scores = vectors @ vectors.T
+    scores = nearness(vectors)
     np.fill_diagonal(scores, -np.inf)
     many = min(many, len(point) - 1)
     if many < 1:
@@ -186,8 +196,7 @@ def meet_many(centre: np.ndarray, point: np.ndarray, worst: np.ndarray, vectors:
         at = heads[low:low + 128, None] + np.arange(width)
         live = np.arange(width) < sizes[low:low + 128, None]
         at = np.where(live, at, 0)
-        own = vectors[at]
-        scores = own @ own.transpose(0, 2, 1)
+        scores = nearness(vectors[at])
         scores[~np.broadcast_to(live[:, None, :], scores.shape)] = -np.inf
         scores[:, np.arange(width), np.arange(width)] = -np.inf
         few = min(many, width - 1)
@@ -298,9 +307,9 @@ def build(sources: DataFrame, total: int, width: int) -> tuple[DataFrame, DataFr
     while changed > CHANGED:
         members = graph.select(F.col("point").alias("centre"), F.explode("near").alias("member")).unionByName(
             backward(graph)).unionByName(codes.select(F.col("point").alias("centre"), F.col("point").alias("member")))
-        worst = F.when(F.size("scores") < LINKS, F.lit(-2.0)).otherwise(F.element_at("scores", -1)).cast("float")
+        worst = F.when(F.size("scores") < LINKS, F.lit(FARTHEST)).otherwise(F.element_at("scores", -1)).cast("float")
         known = (codes.join(graph.select("point", worst.alias("worst")), "point", "left")
-                 .select(F.col("point").alias("member"), "code", F.coalesce("worst", F.lit(-2.0).cast("float")).alias("worst")))
+                 .select(F.col("point").alias("member"), "code", F.coalesce("worst", F.lit(FARTHEST).cast("float")).alias("worst")))
         met = (members.join(known, "member").withColumn("group", F.pmod(F.xxhash64("centre"), F.lit(meeting)))
                .groupBy("group").applyInArrow(gather, LINK_TABLE))
         before = graph.mapInArrow(held, LINK_TABLE)
@@ -325,7 +334,8 @@ def search(graph: DataFrame, codes: DataFrame, asked: DataFrame, width: int) ->
         if reached.num_rows:
             others, first = np.unique(reached.column("other").to_numpy(), return_index=True)
             new = ~np.isin(others, near)
-            found = decoded(reached.column("code").take(first), width)[new] @ (np.frombuffer(own["code"], np.int8).astype(np.float32) / 127)
+            apart = decoded(reached.column("code").take(first), width)[new] - np.frombuffer(own["code"], "<f4")
+            found = -(apart ** 2).sum(1) / 2
             near, scores = np.concatenate([near, others[new]]), np.concatenate([scores, found])
         order = np.lexsort((near, -scores))[:WIDTH]
         near, scores = near[order], scores[order]
@@ -340,7 +350,7 @@ def search(graph: DataFrame, codes: DataFrame, asked: DataFrame, width: int) ->
     empty = F.array().cast("array<bigint>")
     pool = (asked.join(codes, "point").join(graph, "point", "left").select(
         F.col("point").alias("query"), "code", F.concat(F.array("point"), F.coalesce("near", empty)).alias("near"),
-        F.concat(F.array(F.lit(1.0).cast("float")), F.coalesce("scores", F.array().cast("array<float>"))).alias("scores"),
+        F.concat(F.array(F.lit(0.0).cast("float")), F.coalesce("scores", F.array().cast("array<float>"))).alias("scores"),
         F.array("point").alias("done"), F.slice(F.coalesce("near", empty), 1, BEAM).alias("turn")))
     while True:
         pool = materialize(pool, "pool")
