@@ -3,7 +3,7 @@ from pyspark.sql import Window, functions as F
 
 from conftest import SMALL
 from tradewind.operators import quality, suites
-from tradewind.plans.tested_models import GROUPED_BY_KEY, LAYERS, publish_tested
+from tradewind.plans.tested_models import GROUPED_BY_KEY, LAYERS, READ_AGAIN, publish_tested, run_tests
 from tradewind.plans.warehouse import Warehouse
 from tradewind.sources.star_tables import warehouse
 
@@ -61,3 +61,20 @@ def test_models_are_read_back_and_later_ones_read_them(spark, tmp_path):
     assert results.where(~F.col("success")).count() == 0
     assert set(house.published) == {"stg_suppliers", "stg_products"} <= set(LAYERS)
     assert house.model("stg_products").count() == warehouse(spark, SMALL).stg_products.count()
+
+
+def test_tests_alone_equal_those_of_a_publication_and_write_only_what_is_read_again(spark, tmp_path):
+    """All kinds of test at once; a customer without email and a repeated event are found on both ways."""
+    house = warehouse(spark, SMALL)
+    raw = {name: house.raw[name] for name in ("customers", "products", "suppliers", "orders_history", "order_items",
+                                              "orders_stream", "clickstream", "inventory_updates")}
+    raw["customers"] = raw["customers"].withColumn("email", F.expr("if(customer_id = '7', null, email)"))
+    raw["orders_stream"] = raw["orders_stream"].unionByName(raw["orders_stream"].where("order_id = '3'"))
+    spoiled = Warehouse(raw, house.rules)
+    _, results = publish_tested(spark, spoiled, f"{tmp_path}/a")
+    alone = run_tests(spark, spoiled, f"{tmp_path}/b")
+    rows = [sorted(map(str, frame.collect())) for frame in (results, alone)]
+    assert rows[0] == rows[1] and alone.where(~F.col("success")).count() >= 2
+    written = {path.name for layer in (tmp_path / "b").iterdir() if layer.name != "test_results" for path in layer.iterdir()}
+    assert written == set(READ_AGAIN)
+    assert set(spark.read.parquet(f"{tmp_path}/b/marts/mart_orders").columns) == set(READ_AGAIN["mart_orders"])

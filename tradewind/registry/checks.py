@@ -3,20 +3,19 @@
 from __future__ import annotations
 
 from datetime import date, datetime
-from functools import lru_cache
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tradewind import schemas
 from tradewind.operators import aggregates, quality, suites
 from tradewind.operators.joins import orphans
 from tradewind.plans.batch_load import reconcile_load
-from tradewind.plans.tested_models import publish_tested
+from tradewind.plans.tested_models import run_tests
 from tradewind.registry.contract import rendered_sql
 from tradewind.registry.register import Register
 from tradewind.registry.relations import FOREIGN_KEY_SQL, all_orphans
-from tradewind.session import fresh_folder, shared_root
+from tradewind.session import fresh_folder
 from tradewind.sources import publish
 from tradewind.sources.sinks import align
 from tradewind.sources.star_tables import RAW, warehouse
@@ -248,23 +247,11 @@ def model_tests(kind: str):
             for model in suites.MODEL_TESTS}
 
 
-@lru_cache(maxsize=8)
-def tested_models(application: str, shared: str, folder: str) -> str:
-    """Where the models of a folder are published and tested, once for all queries of an application."""
-    spark = SparkSession.getActiveSession()
-    root = fresh_folder(spark, "tested-models")
-    publish_tested(spark, warehouse(spark, folder), root)
-    return root
-
-
 def evaluate_models(kind: str):
     def run(spark, folder):
-        """Results of one kind of test, collected while the models were written."""
-        root = tested_models(spark.sparkContext.applicationId, shared_root(spark), folder)
-        results = spark.read.parquet(f"{root}/test_results").where(C("check") == kind)
-        # positions count within the kind
-        place = F.row_number().over(Window.partitionBy("suite").orderBy("position")) - 1
-        return results.withColumn("position", place).select(*quality.RESULT_COLUMNS)
+        """Results of one kind of test; what only other tests need is not computed."""
+        checks = model_tests(kind)
+        return run_tests(spark, warehouse(spark, folder), fresh_folder(spark, f"tests-{kind}"), checks.__getitem__)
 
     return run
 
