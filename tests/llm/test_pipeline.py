@@ -4,7 +4,7 @@ import itertools
 import random
 
 import corpus_pipeline
-from tradewind.llm import near_copies
+from tradewind.llm import near_copies, suffix_dedup
 from tradewind.llm.common import materialize
 
 
@@ -79,3 +79,9 @@ def test_rows_of_one_id_and_clashing_columns(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         after = stage(spark, docs, "")
         assert after.columns == docs.columns and {r["point"] for r in after.collect()} <= {"de"}
+
+
+def test_repeated_passages_are_dealt_in_small_parts():
+    """A task holds one part several times, so a part of 16 MB took an executor over 3000 MB on half a gigabyte."""
+    assert (512 << 20) / suffix_dedup.parts_of(512 << 20) <= 4 << 20
+    assert suffix_dedup.parts_of(0) == 8

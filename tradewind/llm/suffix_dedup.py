@@ -33,12 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewind.llm.common import materialize
+from tradewind.llm.common import materialize, release_memory
 from tradewind.llm.suffix_array import equal_windows
 
-BUCKET = 16 << 20    # bytes of text for each bucket
+BUCKET = 4 << 20     # bytes of text for each bucket: a task holds several copies of it beside the JVM's
 SLICE = 1 << 18      # bytes hashed at once
-HELD = 1 << 20       # anchor records held before they are packed
+HELD = 1 << 19       # anchor records held before they are packed
 ROUND = 1 << 14      # surroundings sorted at once
 PLACE = np.uint64((1 << 24) - 1)
 M1, M2, S = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(29)
@@ -235,6 +235,8 @@ def find_anchors(window: int, gram: int, many: int):
                     yield from arrow(list(pack(held)), ANCHORS).to_batches()
                     held, size = [], 0
         yield from arrow(list(pack(held)), ANCHORS).to_batches()
+        del held
+        release_memory()
 
     return run
 
@@ -243,6 +245,7 @@ def judge_anchors(many: int):
     """Of one bucket: runs of windows that go at once, and those that are still open."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        release_memory()
         if key[0].as_py() < 0:
             made = unpacked(table, {"row": "<i8", "count": "<u4", "lo": "<u4", "extra": "<u4"})
             return arrow(list(run_rows(made["row"], made["lo"], made["extra"], many)), RUNS)
@@ -271,6 +274,7 @@ def cut_surroundings(window: int, many: int):
 
     def run(docs: pa.Table, runs: pa.Table) -> pa.Table:
         c = unpacked(runs, {"row": "<i8", "count": "<u4", "gram": "<u8", "lo": "<u4", "extra": "<u4", "lead": "u1"})
+        release_memory()
         if not len(c["row"]) or not docs.num_rows:
             return arrow([], AROUND)
         data, offsets = text_bytes(docs.column("text"))
@@ -298,6 +302,7 @@ def sort_surroundings(window: int, gram: int, many: int):
     width, half = window - gram + 1, (window - gram) // 2
 
     def run(table: pa.Table) -> pa.Table:
+        release_memory()
         c = unpacked(table, {"doc": "<i8", "row": "<i8", "gram": "<u8", "lo": "<u4", "extra": "u1", "lead": "u1"})
         data = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8)
         extra, lead = c["extra"].astype(np.int64), c["lead"].astype(np.int64)
@@ -361,6 +366,7 @@ OUTPUTS = {
 
 def remove_runs(window: int, keep: list[str], outputs: tuple[str, ...]):
     def run(docs: pa.Table, runs: pa.Table) -> pa.Table:
+        release_memory()
         c = unpacked(runs, {"row": "<i8", "count": "<u4", "lo": "<u4", "extra": "<u4"})
         data, offsets = text_bytes(docs.column("_text"))
         order = np.argsort(c["row"], kind="stable")
@@ -391,6 +397,11 @@ def remove_runs(window: int, keep: list[str], outputs: tuple[str, ...]):
     return run
 
 
+def parts_of(size: int) -> int:
+    """Buckets, and shelves, for so many bytes of text."""
+    return max(8, -(-size // BUCKET))
+
+
 def remove_repeats(docs: DataFrame, window: int = 50, text: str = "text", outputs: tuple[str, ...] = ("kept",),
                    keep: tuple[str, ...] | None = None) -> DataFrame:
     """The columns `keep` of docs (all by default), n_bytes, n_removed, n_spans (maximal removed runs) and the
@@ -401,7 +412,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, text: str = "text", output
     results = {"n_bytes", "n_removed", "n_spans", "row", "shelf", "_text", *outputs}
     keep = [c for c in (keep or docs.columns) if c not in results]
     size = docs.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
-    many = max(8, -(-size // BUCKET))
+    many = parts_of(size)
     row = F.xxhash64(F.col("doc_id"), F.col(text))
     shelf = F.pmod(F.conv(F.hex(row), 16, 10).cast("decimal(20,0)"), F.lit(many)).cast("bigint")
     rows = docs.select(*keep, F.col(text).alias("_text"), row.alias("row"), shelf.alias("shelf"))
