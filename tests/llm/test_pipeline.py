@@ -85,3 +85,31 @@ def test_repeated_passages_are_dealt_in_small_parts():
     """A task holds one part several times, so a part of 16 MB took an executor over 3000 MB on half a gigabyte."""
     assert (512 << 20) / suffix_dedup.parts_of(512 << 20) <= 4 << 20
     assert suffix_dedup.parts_of(0) == 8
+
+
+def test_points_of_frequent_shingles_meet_in_blocks(spark, monkeypatch):
+    """However many points frequent shingles connect, a task gets two blocks of them, and any two points meet once or more."""
+    monkeypatch.setattr(near_copies, "BLOCK", 100)
+    members = spark.createDataFrame([(i, 0) for i in range(200)], "point bigint, component bigint")
+    own = spark.createDataFrame([(i, f"t{i}", 10) for i in range(200)], "point bigint, text string, n int")
+    met = {}
+    for row in near_copies.in_blocks(members, own).collect():
+        met.setdefault((row["x"], row["y"]), set()).add(row["point"])
+    assert max(map(len, met.values())) < 60
+    assert {pair for part in met.values() for pair in itertools.combinations(sorted(part), 2)} == set(
+        itertools.combinations(range(200), 2))
+
+
+def test_near_copies_in_blocks_equal_those_in_one(spark, monkeypatch):
+    """A chain of texts, similar only to their neighbours, that one frequent line connects."""
+    monkeypatch.setattr(near_copies, "HOT", 4)
+    line = [f"line{i}" for i in range(40)]
+    texts = [" ".join(line + [f"w{j}" for j in range(i, i + 60)]) for i in range(0, 120, 3)]
+    texts += [" ".join(line + [f"v{k}x{j}" for j in range(8)]) for k in range(10)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    whole = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(docs).collect()}
+    sets = [plain_shingles(t) for t in texts]
+    assert all((whole[i] == whole[j]) for i, j in itertools.combinations(range(len(texts)), 2)
+               if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8)
+    monkeypatch.setattr(near_copies, "BLOCK", 500)
+    assert {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(docs).collect()} == whole
