@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tradewind import schemas
 from tradewind.functions import classify, keys, money, temporal, text
 from tradewind.plans.intermediate import sold_lines
+from tradewind.plans.warehouse import Warehouse
 from tradewind.registry.contract import rendered_sql
 from tradewind.registry.oracle import AS_OF as AS_OF_SQL, HEALTH, ISO, TIER, mean
 from tradewind.registry.register import Register
@@ -299,13 +300,15 @@ def _(spark, folder):
     """A model of each layer written to the folder of its schema and read back; without a layer, the default."""
     root, house = fresh_folder(spark, "mac04"), warehouse(spark, folder)
     models = {"staging": "stg_suppliers", "intermediate": "int_order_lines", "marts": "mart_revenue_daily"}
-    tables = {layer: house.model(model) for layer, model in models.items()}
-    tables["none"] = raw(spark, folder, "suppliers")
-    result = None
-    for layer, rows in tables.items():
+    published, result = {}, None
+    for layer in (*models, "none"):
+        built = Warehouse(house.raw, house.rules, published, house.ties)
+        rows = built.model(models[layer]) if layer in models else raw(spark, folder, "suppliers")
         schema = keys.schema_name(keys.LAYER_SCHEMAS.get(layer), "RAW")
         rows.write.parquet(f"{root}/{schema}/{layer}")
-        part = spark.read.parquet(f"{root}/{schema}/{layer}").agg(F.count("*").alias("rows")).select(
+        written = spark.read.parquet(f"{root}/{schema}/{layer}")
+        published[models.get(layer)] = written  # later layers read it
+        part = written.agg(F.count("*").alias("rows")).select(
             F.lit(layer).alias("layer"), F.lit(schema).alias("schema"), "rows")
         result = part if result is None else result.unionByName(part)
     return result
