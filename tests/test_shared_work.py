@@ -34,3 +34,13 @@ def test_revenue_reads_published_lines(spark, tmp_path):
     revenue = Warehouse(house.raw, house.rules, {"int_order_lines": lines}, house.ties).mart_revenue_daily
     assert "lineitem" not in sources(revenue)
     assert not revenue.exceptAll(house.mart_revenue_daily).count() and revenue.count() == house.mart_revenue_daily.count()
+
+
+def test_a_stream_joins_customers_that_are_staged_already(spark, monkeypatch):
+    """Each batch of the stream staged all customers again."""
+    joined = []
+    made = topics.intermediate.int_streaming_orders_enriched
+    monkeypatch.setattr(topics.intermediate, "int_streaming_orders_enriched",
+                        lambda events, customers, floors: joined.append(customers) or made(events, customers, floors))
+    topics.REGISTER.entries["str08_stream_static_enrichment"][0](spark, SMALL)
+    assert "customer.parquet" not in sources(joined[0])

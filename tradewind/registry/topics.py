@@ -216,8 +216,10 @@ def _(spark, folder):
     rows = ingest.read_topic_files(spark, store_topic(spark, folder, "orders_stream"), files_per_trigger=1)
     parsed = ingest.parse_topic(rows, schemas.ORDERS_STREAM).withColumns({
         "_loaded_at": F.current_timestamp(), "_source_file": F.lit("stream")})
+    known = fresh_folder(spark, "str08-customers")  # written, so that a batch does not stage all customers again
+    warehouse(spark, folder).stg_customers.select("customer_id", *intermediate.CUSTOMER_CONTEXT).write.parquet(known)
     enriched = intermediate.int_streaming_orders_enriched(
-        staging.stg_orders_stream(parsed), warehouse(spark, folder).stg_customers, RULES.tier_floors)
+        staging.stg_orders_stream(parsed), spark.read.parquet(known), RULES.tier_floors)
     target, progress = fresh_folder(spark, "str08"), fresh_folder(spark, "str08-progress")
     writer = enriched.writeStream.format("parquet").option("path", target).option("checkpointLocation", progress)
     writer.trigger(**NOW).start().awaitTermination()
