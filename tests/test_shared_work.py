@@ -44,3 +44,19 @@ def test_a_stream_joins_customers_that_are_staged_already(spark, monkeypatch):
                         lambda events, customers, floors: joined.append(customers) or made(events, customers, floors))
     topics.REGISTER.entries["str08_stream_static_enrichment"][0](spark, SMALL)
     assert "customer.parquet" not in sources(joined[0])
+
+
+def test_a_replaced_partition_is_computed_once(spark, tmp_path):
+    """A first pass only found out whether there were rows."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def note(value):
+        seen.add(1)
+        return value
+
+    noted = F.udf(note, T.LongType()).asNondeterministic()
+    sinks.replace_partition(spark.range(8, numPartitions=1).select(noted("id").alias("id")), f"{tmp_path}/t", "day", "a")
+    assert seen.value == 8
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 8
+    sinks.replace_partition(spark.range(0).select("id"), f"{tmp_path}/t", "day", "a")
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 0

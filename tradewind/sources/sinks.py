@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tradewind.functions.temporal import parse_time
 
@@ -19,16 +19,17 @@ def replace_partition(rows: DataFrame, base: str, column: str, value) -> None:
     """Write the rows as one partition; a repeated run replaces it and leaves the others alone.
 
     The old partition stays in place until the new one is complete. Without rows there is nothing
-    to swap in, so an empty partition is written in its place.
+    to swap in, so an empty partition is written in its place. Rows are counted by the write itself, so
+    that they are computed once.
     """
-    if rows.isEmpty():
-        rows.limit(0).coalesce(1).write.mode("overwrite").parquet(f"{base}/{column}={value}")
-        return
+    written = Observation()
     (
-        rows.withColumn(column, F.lit(value))
+        rows.observe(written, F.count(F.lit(1)).alias("rows")).withColumn(column, F.lit(value))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
         .partitionBy(column).parquet(base)
     )
+    if not written.get["rows"]:
+        rows.sparkSession.createDataFrame([], rows.schema).coalesce(1).write.mode("overwrite").parquet(f"{base}/{column}={value}")
 
 
 def write_dated(rows: DataFrame, base: str, run_date: date) -> None:
