@@ -60,3 +60,9 @@ def test_a_replaced_partition_is_computed_once(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/t").count() == 8
     sinks.replace_partition(spark.range(0).select("id"), f"{tmp_path}/t", "day", "a")
     assert spark.read.parquet(f"{tmp_path}/t").count() == 0
+
+
+def test_shuffles_start_with_many_partitions(spark):
+    """What one task sorts and holds grew with the tables, at the number of partitions the session had."""
+    warehouse(spark, SMALL).stg_customers
+    assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 1000
