@@ -435,3 +435,33 @@ def test_nn_descent_answers_name_a_row_once(spark):
 def test_every_operator_is_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in registry.queries())
     assert numbers == list(range(1, 14)) and registry.oracle_sql().keys() <= registry.queries().keys()
+
+
+def test_pre_tokens_in_use_outlive_a_full_cache(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE", 50)
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    vocabulary, asked = bpe.Vocabulary(ranks, public_tokenizers.PATTERN).prepare(), []
+    rank = vocabulary.rank
+    monkeypatch.setattr(vocabulary, "rank", lambda piece: asked.append(piece) or rank(piece))
+    for n in range(40):
+        vocabulary.encode(" ".join(["", "everywhere", *(f"rare{chr(97 + n % 26)}{i}x{n}" for i in range(8))]))
+        assert len(vocabulary.cache) + len(vocabulary.cache.old) < 300
+    assert len(vocabulary.cache.old) and asked.count(b" everywhere") == 1
+
+
+def test_buckets_of_n_grams_are_remembered(monkeypatch):
+    plain = [langid.features(word) for word in ("straße", "straßen", "señor")]
+    hashed, crc32 = [], zlib.crc32
+    monkeypatch.setattr(langid.zlib, "crc32", lambda gram: hashed.append(gram) or crc32(gram))
+    grams = langid.Grams()
+    assert [langid.features(word, grams.__getitem__) for word in ("straße", "straßen", "señor")] == plain
+    assert len(hashed) == len(set(hashed))
+    words = langid.Words(langid.Model(["de", "en"], np.zeros((langid.BUCKETS, 2), np.float32), {"latin": np.ones(2, bool)}))
+    hashed.clear()
+    words.of(["katze"])
+    words.of(["katzen"])
+    assert len(hashed) == len(set(hashed))
+    monkeypatch.setattr(langid, "GRAMS", 3)
+    small = langid.Grams()
+    assert [small[g] for g in ("ab", "bc", "cd", "de", "ab")] == [langid.bucket(g) for g in ("ab", "bc", "cd", "de", "ab")]
+    assert len(small) <= 3

@@ -4,7 +4,7 @@ Two tiers: a pre-token that is itself in the vocabulary is found by a minimal pe
 merged with a heap over a linked list of its bytes, lowest rank first and leftmost among equals.
 
 Null text counts as empty. Rows, ties and further columns are kept as they are; an empty table gives an
-empty table. Memory per task is a few copies of its longest text plus a cache of CACHE pre-tokens.
+empty table. Memory per task is a few copies of its longest text plus two caches of CACHE pre-tokens.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from tradewind.llm.common import shared
 from tradewind.llm.pretokens import Splitter
 
-CACHE = 200_000  # pre-tokens remembered by a worker process
+CACHE = 200_000  # pre-tokens in each of the two generations that a worker process remembers
 STEP, SPREAD, WORD = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, (1 << 64) - 1  # odd multipliers for mixing hashes
 
 
@@ -114,12 +114,15 @@ class Vocabulary:
         """Adds what a worker derives for itself."""
         ranks = {token: i for i, token in enumerate(self.tokens)}
         self.byte_id = [ranks.get(bytes([b]), -1) for b in range(256)]
-        self.pairs = {}
+        none: dict[int, int] = {}
+        self.pairs = [none] * len(self.tokens)  # ranks of pairs, by the left token and then by the right one
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
-                    self.pairs[left << 24 | right] = rank
+                    if self.pairs[left] is none:
+                        self.pairs[left] = {}
+                    self.pairs[left][right] = rank
         self.split = Splitter(self.pattern)
         self.kind = "H" if len(self.tokens) <= 1 << 16 else "I"
         self.lengths = np.array([len(t) for t in self.tokens], np.int64)
@@ -133,11 +136,11 @@ class Vocabulary:
 
     def merge(self, piece: bytes) -> list[int]:
         """Heap of (rank, place) over linked bytes; `due` holds the rank of the pair that starts at a place."""
-        ids, get = [self.byte_id[b] for b in piece], self.pairs.get
+        ids, pairs = [self.byte_id[b] for b in piece], self.pairs
         if -1 in ids:
             raise ValueError("a byte of the text is not in the vocabulary")
         n = len(ids)
-        due = [get(left << 24 | right) for left, right in zip(ids, ids[1:], strict=False)]
+        due = [pairs[left].get(right) for left, right in zip(ids, ids[1:], strict=False)]
         due.append(None)
         heap = [rank << 40 | i for i, rank in enumerate(due) if rank is not None]
         heapify(heap)
@@ -152,14 +155,14 @@ class Vocabulary:
             k = after[i] = after[j]
             before[k] = i
             if k < n:
-                due[i] = r = get(rank << 24 | ids[k])
+                due[i] = r = pairs[rank].get(ids[k])
                 if r is not None:
                     heappush(heap, r << 40 | i)
             else:
                 due[i] = None
             h = before[i]
             if h >= 0:
-                due[h] = r = get(ids[h] << 24 | rank)
+                due[h] = r = pairs[ids[h]].get(rank)
                 if r is not None:
                     heappush(heap, r << 40 | h)
         return [x for x in ids if x >= 0]
@@ -167,7 +170,7 @@ class Vocabulary:
     def encode(self, text: str) -> np.ndarray:
         packed = b"".join(map(self.cache.__getitem__, self.split(text)))
         if len(self.cache) > CACHE:
-            self.cache.clear()
+            self.cache.age()
         return np.frombuffer(packed, np.uint16 if self.kind == "H" else np.uint32)
 
     def decode(self, ids: np.ndarray) -> bytes:
@@ -184,19 +187,26 @@ class Vocabulary:
 
 
 class Cache(dict):
-    """Packed ids by pre-token; what is missing is resolved by the two tiers."""
+    """Packed ids by pre-token; what is missing is resolved by the two tiers. A full cache becomes the old one: what
+    is met again comes back from there, so pre-tokens that are used often are not resolved again."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.vocabulary = vocabulary
+        self.vocabulary, self.old = vocabulary, {}
 
     def __missing__(self, pretoken: str) -> bytes:
-        v, piece = self.vocabulary, pretoken.encode()
-        rank = v.rank(piece)
-        packed = array(v.kind, [rank] if rank is not None else v.merge(piece)).tobytes()
+        packed = self.old.get(pretoken)
+        if packed is None:
+            v, piece = self.vocabulary, pretoken.encode()
+            rank = v.rank(piece)
+            packed = array(v.kind, [rank] if rank is not None else v.merge(piece)).tobytes()
         self[pretoken] = packed
         return packed
 
+    def age(self) -> None:
+        self.old = dict(self)
+        self.clear()
+
 
 OUTPUTS = {
     "n_tokens": (T.LongType(), lambda v, ids: len(ids)),

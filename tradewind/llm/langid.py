@@ -17,8 +17,9 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -34,6 +35,7 @@ FLOOR = -6.0       # a word counts this much against a language at most
 SWITCH = 12.0      # penalty of a switch
 RARE = 0.001       # a language uses a script that has at least this share of its words
 CACHE = 100_000
+GRAMS = 50_000     # n-grams whose buckets are remembered
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 # first code points of stretches and their scripts (fixed values)
@@ -48,10 +50,24 @@ def script_of(word: str) -> str:
     return SCRIPTS[bisect_right(STARTS, ord(word[0])) - 1][1]
 
 
-def features(word: str) -> list[int]:
+def bucket(gram: str) -> int:
+    return zlib.crc32(gram.encode()) & BUCKETS - 1
+
+
+class Grams(dict):
+    """Buckets of n-grams; words are made of the same few again and again."""
+
+    def __missing__(self, gram: str) -> int:
+        if len(self) >= GRAMS:
+            self.clear()
+        at = self[gram] = bucket(gram)
+        return at
+
+
+def features(word: str, bucket_of: Callable[[str], int] = bucket) -> list[int]:
     marked = f"^{word}$"
     grams = [marked[i:i + n] for n in WIDTHS for i in range(len(marked) - n + 1)]
-    return [zlib.crc32(g.encode()) & BUCKETS - 1 for g in (*grams, f"={word}")]
+    return [*map(bucket_of, grams), bucket(f"={word}")]
 
 
 @dataclass
@@ -60,17 +76,20 @@ class Model:
     table: np.ndarray                                 # log of the share of a bucket under each language
     scripts: dict[str, np.ndarray] = field(default_factory=dict)  # whether a language uses the script
 
-    def scores(self, words: list[str]) -> np.ndarray:
+    def scores(self, words: list[str], bucket_of: Callable[[str], int] = bucket) -> np.ndarray:
         """One row for each word; a word in a script that no language uses is no evidence."""
-        grams = [features(word) for word in words]
+        grams = [features(word, bucket_of) for word in words]
         sizes = np.fromiter(map(len, grams), np.int64, len(grams))
-        flat = np.fromiter((g for own in grams for g in own), np.int64, sizes.sum())
+        flat = np.fromiter(chain.from_iterable(grams), np.int64, sizes.sum())
         total = np.add.reduceat(self.table[flat], np.cumsum(sizes) - sizes)
         none = np.ones(len(self.languages), bool)
-        known = np.stack([self.scripts.get(script_of(word), none) for word in words])
+        scripts = list(map(script_of, words))
+        kinds = {script: i for i, script in enumerate(dict.fromkeys(scripts))}
+        kind = np.fromiter(map(kinds.__getitem__, scripts), np.int64, len(scripts))
+        known = np.stack([self.scripts.get(script, none) for script in kinds])[kind]
         total = np.where(known, total, -np.inf)
         total = np.maximum(total - total.max(1, keepdims=True), FLOOR)
-        total[[script_of(word) not in self.scripts for word in words]] = 0
+        total[np.array([script not in self.scripts for script in kinds])[kind]] = 0
         return total
 
 
@@ -79,7 +98,7 @@ class Words(dict):
 
     def __init__(self, model: Model):
         super().__init__()
-        self.model, self.new = model, []
+        self.model, self.new, self.grams = model, [], Grams()
         self.rows = np.zeros((1024, len(model.languages)), np.float32)
 
     def __missing__(self, word: str) -> int:
@@ -95,7 +114,7 @@ class Words(dict):
         if self.new:
             while len(self) > len(self.rows):
                 self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            self.rows[len(self) - len(self.new):len(self)] = self.model.scores(self.new)
+            self.rows[len(self) - len(self.new):len(self)] = self.model.scores(self.new, self.grams.__getitem__)
             self.new = []
         return self.rows[at]
 
@@ -157,12 +176,13 @@ def train(rows: DataFrame, at_most: int = TRAIN) -> Model:
         sums: dict[str, np.ndarray] = {}
         scripts: dict[tuple[str, str], int] = {}
         seen: dict[str, list[int]] = {}
+        bucket_of = Grams().__getitem__
         for frame in frames:
             for text, lang in zip(frame["text"], frame["lang"], strict=True):
                 own = sums.setdefault(lang, np.zeros(BUCKETS, np.int64))
                 for word in LETTERS.findall(text.lower()):
                     if word not in seen:
-                        seen[word] = features(word)
+                        seen[word] = features(word, bucket_of)
                     own[seen[word]] += 1
                     key = (lang, script_of(word))
                     scripts[key] = scripts.get(key, 0) + 1
