@@ -1,11 +1,12 @@
 """The pipeline on odd rows, and its first stages against what they must keep."""
 
 import itertools
+import pathlib
 import random
 
 import corpus_pipeline
 from tradewind.llm import near_copies, suffix_dedup
-from tradewind.llm.common import materialize
+from tradewind.llm.common import emptied, materialize
 
 
 def test_stages_keep_the_columns_and_do_their_work(spark):
@@ -113,3 +114,24 @@ def test_near_copies_in_blocks_equal_those_in_one(spark, monkeypatch):
                if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8)
     monkeypatch.setattr(near_copies, "BLOCK", 500)
     assert {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(docs).collect()} == whole
+
+
+def test_written_texts_are_packed_and_tables_without_use_are_emptied(spark, monkeypatch):
+    text = " ".join(f"word{i % 700} {i}" for i in range(3000))
+    docs = spark.createDataFrame([(i, f"{i} {text}") for i in range(20)], "doc_id bigint, text string")
+    size = lambda path: sum(f.stat().st_size for f in pathlib.Path(path.removeprefix("file:")).glob("*.parquet"))
+    written = materialize(docs.coalesce(1), "packed")
+    plain = f"{written.written_to}-plain"
+    docs.coalesce(1).write.parquet(plain)
+    assert size(written.written_to) < 0.8 * size(plain) and written.count() == 20
+    emptied(written)
+    assert size(written.written_to) < 2000 and spark.read.parquet(written.written_to).count() == 0
+
+    made = {}
+    def noted(df, purpose):
+        made.setdefault(purpose, []).append(materialize(df, purpose))
+        return made[purpose][-1]
+    monkeypatch.setattr(near_copies, "materialize", noted)
+    assert near_copies.near_copies(docs).select("component_id").distinct().count() == 1
+    for purpose in ("points", "frequent", "met"):
+        assert [spark.read.parquet(df.written_to).count() for df in made[purpose]] == [0], purpose
