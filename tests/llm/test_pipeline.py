@@ -3,10 +3,15 @@
 import itertools
 import pathlib
 import random
+import sys
+
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tradewind.llm import near_copies, suffix_dedup
-from tradewind.llm.common import emptied, materialize
+from tradewind.llm.common import emptied, materialize, shared
 
 
 def test_stages_keep_the_columns_and_do_their_work(spark):
@@ -135,3 +140,38 @@ def test_written_texts_are_packed_and_tables_without_use_are_emptied(spark, monk
     assert near_copies.near_copies(docs).select("component_id").distinct().count() == 1
     for purpose in ("points", "frequent", "met"):
         assert [spark.read.parquet(df.written_to).count() for df in made[purpose]] == [0], purpose
+
+
+def test_workers_forget_what_the_stage_before_remembered(spark):
+    """Workers outlive a stage: those with the words of `language` took an executor over 3000 MB in the stages behind it."""
+    described = near_copies.described(5).func
+    token = [x.tobytes() for x in (pd.Series([1, 1]).to_numpy(), pd.Series([3, 4]).to_numpy(), pd.Series([9, 9]).to_numpy(), pd.Series([0, 0]).to_numpy())]
+    met = pa.table({name: pa.array([x], pa.binary()) for name, x in zip(("token", "point", "n", "at"), token, strict=True)})
+    docs = pa.RecordBatch.from_pydict({"doc_id": [1], "row": [0], "text": ["a b c"]})
+    for run in (lambda: list(described(iter([pd.Series(["a b", None])]))), lambda: near_copies.meet(met),
+                lambda: list(suffix_dedup.find_anchors(50, 16, 8)(iter([docs])))):
+        assert shared(spark, "langid", ["words"])() == ["words"]
+        assert "langid" in sys.modules["_tradewind_llm"].kept
+        run()
+        assert "langid" not in sys.modules["_tradewind_llm"].kept
+
+
+def test_a_task_that_deals_prefixes_needs_one_worker(spark, monkeypatch):
+    plans = {}
+    def noted(df, purpose):
+        plans[purpose] = df._jdf.queryExecution().executedPlan().toString()
+        return materialize(df, purpose)
+    monkeypatch.setattr(near_copies, "materialize", noted)
+    docs = spark.createDataFrame([(i, f"a b c d e f g {i}") for i in range(9)], "doc_id bigint, text string")
+    near_copies.near_copies(docs).count()
+    assert plans["met"].index("Union") < plans["met"].index("MapInArrow")
+
+
+def test_rows_go_to_python_in_small_batches(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ab cd "), 2000).alias("text")).coalesce(1)
+    corpus_pipeline.near_copies(spark, docs.limit(9), "").count()
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"size": [batch.nbytes]})
+    found = [r["size"] for r in docs.mapInArrow(sizes, "size bigint").collect()]
+    assert sum(found) > 30 << 20 and max(found) < 8 << 20

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import shared
+from tradewind.llm.common import only, shared
 
 TRAIN = 4000       # labelled rows that the model learns from, at most
 BUCKETS = 1 << 16
@@ -173,6 +173,7 @@ def train(rows: DataFrame, at_most: int = TRAIN) -> Model:
     sample = known.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id")
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        only("langid")
         sums: dict[str, np.ndarray] = {}
         scripts: dict[tuple[str, str], int] = {}
         seen: dict[str, list[int]] = {}

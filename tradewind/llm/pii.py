@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import first_rows, shared
+from tradewind.llm.common import first_rows, only, shared
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
@@ -250,6 +250,7 @@ def trained(docs: DataFrame, text: str = "text", at_most: int = TRAIN) -> Field:
     chosen = rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(at_most)
 
     def graphs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        only("pii")
         for frame in frames:
             made = [Graph(t, base_spans(t)) for t in frame["text"]]
             yield pd.DataFrame({"doc_id": frame["doc_id"], "label": [g.label for g in made],

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewind.llm.common import materialize, release_memory
+from tradewind.llm.common import materialize, only, release_memory
 from tradewind.llm.suffix_array import equal_windows
 
 BUCKET = 4 << 20     # bytes of text for each bucket: a task holds several copies of it beside the JVM's
@@ -199,6 +199,7 @@ def find_anchors(window: int, gram: int, many: int):
         yield from packed("bucket", buckets(c["gram"], many), c)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("suffix")
         held: list[dict] = []
         size = 0
         for batch in batches:
@@ -245,6 +246,7 @@ def judge_anchors(many: int):
     """Of one bucket: runs of windows that go at once, and those that are still open."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        only("suffix")
         release_memory()
         if key[0].as_py() < 0:
             made = unpacked(table, {"row": "<i8", "count": "<u4", "lo": "<u4", "extra": "<u4"})
@@ -273,6 +275,7 @@ def cut_surroundings(window: int, many: int):
     """The text of the open runs of one shelf, dealt out by their anchor."""
 
     def run(docs: pa.Table, runs: pa.Table) -> pa.Table:
+        only("suffix")
         c = unpacked(runs, {"row": "<i8", "count": "<u4", "gram": "<u8", "lo": "<u4", "extra": "<u4", "lead": "u1"})
         release_memory()
         if not len(c["row"]) or not docs.num_rows:
@@ -302,6 +305,7 @@ def sort_surroundings(window: int, gram: int, many: int):
     width, half = window - gram + 1, (window - gram) // 2
 
     def run(table: pa.Table) -> pa.Table:
+        only("suffix")
         release_memory()
         c = unpacked(table, {"doc": "<i8", "row": "<i8", "gram": "<u8", "lo": "<u4", "extra": "u1", "lead": "u1"})
         data = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8)
@@ -366,6 +370,7 @@ OUTPUTS = {
 
 def remove_runs(window: int, keep: list[str], outputs: tuple[str, ...]):
     def run(docs: pa.Table, runs: pa.Table) -> pa.Table:
+        only("suffix")
         release_memory()
         c = unpacked(runs, {"row": "<i8", "count": "<u4", "lo": "<u4", "extra": "<u4"})
         data, offsets = text_bytes(docs.column("_text"))
