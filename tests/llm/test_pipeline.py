@@ -4,13 +4,15 @@ import itertools
 import pathlib
 import random
 import sys
+import zlib
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tradewind.llm import near_copies, suffix_dedup
+from tradewind.llm import langid, near_copies, suffix_dedup
 from tradewind.llm.common import emptied, materialize, shared
 
 
@@ -175,3 +177,39 @@ def test_rows_go_to_python_in_small_batches(spark):
             yield pa.RecordBatch.from_pydict({"size": [batch.nbytes]})
     found = [r["size"] for r in docs.mapInArrow(sizes, "size bigint").collect()]
     assert sum(found) > 30 << 20 and max(found) < 8 << 20
+
+
+def test_languages_are_learned_from_all_labelled_rows(spark):
+    """A quarter of the ids, rows without one and all but 4000 ids taught nothing, so that these documents were all rejected."""
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 4 == 2]
+    text = "Der Hund und die Katze sind im Haus"
+    docs = spark.createDataFrame([(i, f"{text} {i}", "de") for i in ids] + [(None, "Le chat est dans la maison", "fr")],
+                                 "doc_id bigint, text string, lang string")
+    assert langid.train(docs, at_most=None).languages == ["de", "fr"]
+    assert corpus_pipeline.language(spark, docs, "").count() == len(ids) + 1
+    one = langid.train(docs.where("lang = 'de'"), at_most=None)
+    assert langid.identify(docs.limit(3), one, spans=False).where("language.lang_pred = 'de'").count() == 3
+
+
+def test_passages_of_rows_without_an_id_of_their_own_go(spark):
+    """Rows without an id were returned whole, and those of one id never lost what another one of them had."""
+    words = random.Random(3)
+    made = lambda: " ".join(f"w{words.randrange(10 ** 6)}" for _ in range(30))
+    passage = made()
+    texts = [(None, f"{made()} {passage} {made()}") for _ in range(3)] + [(5, f"{made()} {passage} {made()}") for _ in range(3)]
+    texts += [(9, f"{made()} {passage}"), (9, made())]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    hashed = {r["text"]: r["h"] for r in docs.withColumn("h", F.xxhash64("doc_id", "text")).collect()}
+    first = min((h, t) for (i, t), h in ((x, hashed[x[1]]) for x in texts) if i == 5)[1]
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.repeated_passages(spark, docs, "").collect()]
+    assert len(kept) == len(texts) and [x for x in kept if passage in x[1]] == [(5, first)]
+    assert sum(len(t) for _, t in kept) <= sum(len(t) for _, t in texts) - 6 * len(passage)
+    # the operator on its own holds rows of one id for one document, and leaves rows without one alone
+    alone = {r["text"]: r["n_removed"] for r in suffix_dedup.remove_repeats(docs, 50).collect()}
+    assert [bool(alone[t]) for _, t in texts] == [False] * 6 + [True, False]
+
+
+def test_ranks_of_rows_follow_ids_and_rows():
+    doc, row = np.array([7, 2, 7, 2, 7]), np.array([5, -1, -3, -1, 5])
+    assert suffix_dedup.order_of(doc, row, True).tolist() == [2, 0, 1, 0, 2]
+    assert suffix_dedup.order_of(doc, row, False) is doc

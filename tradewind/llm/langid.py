@@ -6,8 +6,8 @@ the words, with a penalty for every switch, labels spans; the language with most
 share of the letters is the score. A text whose best single language cannot be beaten by any switch (the
 largest sum of a stretch of other words' gains does not reach the penalty) needs no table of paths.
 
-The model learns from at most TRAIN labelled rows, the first by a hash of their id; it is a table of BUCKETS
-rows, summed up by Spark. Null text, and text without a letter, is `und` with score 0. Languages tie in
+The model learns from at most TRAIN labelled rows, the first by a hash of their id, or from all; it is a table of
+BUCKETS rows, summed up by Spark. Null text, and text without a letter, is `und` with score 0. Languages tie in
 alphabetical order. Rows are kept as they are with all columns (those named like the results are replaced);
 an empty table gives an empty table; without training rows everything is `und`.
 """
@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from itertools import chain
@@ -166,29 +167,38 @@ def label(text: str, words: Words, penalty: float = SWITCH, spans: bool = True):
     return model.languages[best], float(share[best] / share.sum()), stretches
 
 
-def train(rows: DataFrame, at_most: int = TRAIN) -> Model:
-    """From rows with doc_id, text and lang; null and empty ones teach nothing."""
-    known = rows.where("lang is not null and text is not null and doc_id is not null")
-    chosen = known.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(at_most)
-    sample = known.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id")
+def train(rows: DataFrame, at_most: int | None = TRAIN) -> Model:
+    """From rows with doc_id, text and lang; null and empty ones teach nothing. Without `at_most`, all labelled rows
+    are learned from, those without an id too."""
+    sample = rows.where("lang is not null and text is not null").select("doc_id", "text", "lang")
+    if at_most is not None:
+        known = sample.where("doc_id is not null")
+        chosen = known.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(at_most)
+        sample = known.join(F.broadcast(chosen), "doc_id")
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         only("langid")
         sums: dict[str, np.ndarray] = {}
         scripts: dict[tuple[str, str], int] = {}
-        seen: dict[str, list[int]] = {}
+        words: dict[str, Counter] = {}
         bucket_of = Grams().__getitem__
+
+        def add(lang: str) -> None:
+            """Adds up the words of a language that wait; a bucket counts once for each word, however often it has it."""
+            own = sums.setdefault(lang, np.zeros(BUCKETS, np.int64))
+            for word, n in words.pop(lang).items():
+                own[features(word, bucket_of)] += n
+                key = (lang, script_of(word))
+                scripts[key] = scripts.get(key, 0) + n
+
         for frame in frames:
             for text, lang in zip(frame["text"], frame["lang"], strict=True):
-                own = sums.setdefault(lang, np.zeros(BUCKETS, np.int64))
-                for word in LETTERS.findall(text.lower()):
-                    if word not in seen:
-                        seen[word] = features(word, bucket_of)
-                    own[seen[word]] += 1
-                    key = (lang, script_of(word))
-                    scripts[key] = scripts.get(key, 0) + 1
-                if len(seen) > CACHE:
-                    seen.clear()
+                waiting = words.setdefault(lang, Counter())
+                waiting.update(LETTERS.findall(text.lower()))
+                if len(waiting) > CACHE // 4:
+                    add(lang)
+        for lang in [*words]:
+            add(lang)
         for lang, own in sums.items():
             at = np.flatnonzero(own)
             yield pd.DataFrame({"lang": lang, "script": "", "bucket": at, "n": own[at]})

@@ -18,8 +18,10 @@ All records travel as packed arrays, one per task and bucket. Buckets grow in nu
 text; texts are dealt out by a hash of their row.
 
 Null text counts as empty. A row with a null doc_id is compared with nothing and returned whole. Rows that
-share a doc_id belong to one document: they never remove bytes from each other. Repeated rows get the same
-result. An empty table gives an empty table. Columns named like the results are replaced.
+share a doc_id belong to one document: they never remove bytes from each other. With `apart`, rows with
+different texts are different documents instead: those of one doc_id come in the order of a hash of their text,
+those without one behind all others in that order. Repeated rows get the same result. An empty table gives an
+empty table. Columns named like the results are replaced.
 """
 
 from __future__ import annotations
@@ -41,6 +43,7 @@ SLICE = 1 << 18      # bytes hashed at once
 HELD = 1 << 19       # anchor records held before they are packed
 ROUND = 1 << 14      # surroundings sorted at once
 PLACE = np.uint64((1 << 24) - 1)
+LAST = (1 << 63) - 1  # stands for a null doc_id where rows are apart
 M1, M2, S = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(29)
 ANCHORS = "bucket bigint, doc binary, row binary, count binary, gram binary, around binary, lo binary, extra binary, lead binary"
 RUNS = "shelf bigint, open boolean, row binary, count binary, gram binary, lo binary, extra binary, lead binary"
@@ -187,12 +190,25 @@ def smallest(doc: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return later, kinds, shared
 
 
-def find_anchors(window: int, gram: int, many: int):
+def order_of(doc: np.ndarray, row: np.ndarray, apart: bool) -> np.ndarray:
+    """What tells documents apart and which of them is smaller: the doc_id, or its rank together with the row."""
+    if not apart or not len(doc):
+        return doc
+    order = np.lexsort((row, doc))
+    new = np.zeros(len(order), bool)
+    for key in (doc[order], row[order]):
+        new[1:] |= key[1:] != key[:-1]
+    ranks = np.empty(len(order), np.int64)
+    ranks[order] = np.cumsum(new)
+    return ranks
+
+
+def find_anchors(window: int, gram: int, many: int, apart: bool = False):
     def pack(held: list[dict]) -> Iterator[dict]:
         if not held:
             return
         c = {name: np.concatenate([h.pop(name) for h in held]) for name in list(held[0])}
-        later, _, _ = smallest(c["doc"], c["gram"], c["around"])
+        later, _, _ = smallest(order_of(c["doc"], c["row"], apart), c["gram"], c["around"])
         for made in run_rows(c["row"][later], c["lo"][later], c["extra"][later], many):
             yield {"bucket": -1 - made.pop("shelf"), "doc": b"", "around": b""} | {k: v for k, v in made.items() if k != "open"}
         c = {name: values[~later] for name, values in c.items()}
@@ -242,7 +258,7 @@ def find_anchors(window: int, gram: int, many: int):
     return run
 
 
-def judge_anchors(many: int):
+def judge_anchors(many: int, apart: bool = False):
     """Of one bucket: runs of windows that go at once, and those that are still open."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -253,7 +269,7 @@ def judge_anchors(many: int):
             return arrow(list(run_rows(made["row"], made["lo"], made["extra"], many)), RUNS)
         c = unpacked(table, {"doc": "<i8", "row": "<i8", "count": "<u4", "gram": "<u8", "around": "<u8", "lo": "<u4",
                              "extra": "u1", "lead": "u1"})
-        later, kinds, shared = smallest(c["doc"], c["gram"], c["around"])
+        later, kinds, shared = smallest(order_of(c["doc"], c["row"], apart), c["gram"], c["around"])
         made = list(run_rows(c["row"][later], c["lo"][later], c["extra"][later], many))
         keep = shared & (kinds > 1) & ~later
         order = np.flatnonzero(keep)
@@ -300,7 +316,7 @@ def cut_surroundings(window: int, many: int):
     return run
 
 
-def sort_surroundings(window: int, gram: int, many: int):
+def sort_surroundings(window: int, gram: int, many: int, apart: bool = False):
     """Windows of one bucket that stand in a smaller document, by suffix sorting."""
     width, half = window - gram + 1, (window - gram) // 2
 
@@ -308,6 +324,7 @@ def sort_surroundings(window: int, gram: int, many: int):
         only("suffix")
         release_memory()
         c = unpacked(table, {"doc": "<i8", "row": "<i8", "gram": "<u8", "lo": "<u4", "extra": "u1", "lead": "u1"})
+        c["doc"] = order_of(c["doc"], c["row"], apart)
         data = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8)
         extra, lead = c["extra"].astype(np.int64), c["lead"].astype(np.int64)
         lengths = extra + window
@@ -408,7 +425,7 @@ def parts_of(size: int) -> int:
 
 
 def remove_repeats(docs: DataFrame, window: int = 50, text: str = "text", outputs: tuple[str, ...] = ("kept",),
-                   keep: tuple[str, ...] | None = None) -> DataFrame:
+                   keep: tuple[str, ...] | None = None, apart: bool = False) -> DataFrame:
     """The columns `keep` of docs (all by default), n_bytes, n_removed, n_spans (maximal removed runs) and the
     outputs named. Windows of 24 to 200 bytes."""
     if not 24 <= window <= 200:
@@ -421,13 +438,14 @@ def remove_repeats(docs: DataFrame, window: int = 50, text: str = "text", output
     row = F.xxhash64(F.col("doc_id"), F.col(text))
     shelf = F.pmod(F.conv(F.hex(row), 16, 10).cast("decimal(20,0)"), F.lit(many)).cast("bigint")
     rows = docs.select(*keep, F.col(text).alias("_text"), row.alias("row"), shelf.alias("shelf"))
-    narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).alias("text"), row.alias("row"),
-                         shelf.alias("shelf")).where("doc_id is not null")
-    found = narrow.select("doc_id", "row", "text").mapInArrow(find_anchors(window, gram, many), ANCHORS)
-    runs = materialize(found.groupBy("bucket").applyInArrow(judge_anchors(many), RUNS), "runs")
+    doc_id = F.col("doc_id").cast("bigint")
+    narrow = docs.select((F.coalesce(doc_id, F.lit(LAST)) if apart else doc_id).alias("doc_id"), F.col(text).alias("text"),
+                         row.alias("row"), shelf.alias("shelf")).where("doc_id is not null")
+    found = narrow.select("doc_id", "row", "text").mapInArrow(find_anchors(window, gram, many, apart), ANCHORS)
+    runs = materialize(found.groupBy("bucket").applyInArrow(judge_anchors(many, apart), RUNS), "runs")
     around = (narrow.groupBy("shelf").cogroup(runs.where("open").groupBy("shelf"))
               .applyInArrow(cut_surroundings(window, 4 * many), AROUND))
-    sorted_runs = materialize(around.groupBy("bucket").applyInArrow(sort_surroundings(window, gram, many), RUNS), "sorted")
+    sorted_runs = materialize(around.groupBy("bucket").applyInArrow(sort_surroundings(window, gram, many, apart), RUNS), "sorted")
     schema = T.StructType([*[docs.schema[c] for c in keep],
                            *[T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")],
                            *[T.StructField(n, OUTPUTS[n][0]) for n in outputs]])
