@@ -4,6 +4,7 @@ import itertools
 import pathlib
 import random
 import sys
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -213,3 +214,19 @@ def test_ranks_of_rows_follow_ids_and_rows():
     doc, row = np.array([7, 2, 7, 2, 7]), np.array([5, -1, -3, -1, 5])
     assert suffix_dedup.order_of(doc, row, True).tolist() == [2, 0, 1, 0, 2]
     assert suffix_dedup.order_of(doc, row, False) is doc
+
+
+def test_prefixes_that_meet_hold_different_pairs_only(spark):
+    """Sixty near copies meet at each shingle of their prefixes; all these meetings were held until the end, several times."""
+    n = 60 * 67 * 20
+    token, point = np.arange(n) // 60, np.arange(n) % 60 + np.arange(n) // 60 // 67 * 60
+    columns = {"token": token, "point": point, "n": np.full(n, 300), "at": np.full(n, 5)}
+    table = pa.table({name: pa.array([x.astype("<i8").tobytes()], pa.binary()) for name, x in columns.items()})
+    tracemalloc.start()
+    met = near_copies.meet(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20
+    pairs = {(a + 60 * group, b + 60 * group) for group in range(20) for a, b in itertools.combinations(range(60), 2)}
+    assert met.num_rows == len(pairs) and set(zip(met["a"].to_pylist(), met["b"].to_pylist())) == pairs
+    assert not any(met["hot"].to_pylist())
