@@ -1,11 +1,15 @@
-"""What several runs, models or batches need is computed once."""
+"""What several runs, models or batches need is computed once, and what no one needs any more is not kept."""
+
+import time
 
 from pyspark.sql import functions as F, types as T
 
 from conftest import SMALL
 from tradewind.plans.warehouse import Warehouse
+from tradewind.operators import quality
 from tradewind.registry import loading, topics
-from tradewind.sources import sinks
+from tradewind.session import CLEANUP
+from tradewind.sources import publish, sinks
 from tradewind.sources.star_tables import warehouse
 
 
@@ -66,3 +70,29 @@ def test_shuffles_start_with_many_partitions(spark):
     """What one task sorts and holds grew with the tables, at the number of partitions the session had."""
     warehouse(spark, SMALL).stg_customers
     assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 1000
+
+
+def shuffled(spark):
+    """Names of the shuffle files on the disk."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {x for x in files.mkString(" ").split() if "/shuffle_" in x}
+
+
+def left_behind(spark, before):
+    for _ in range(50):  # files go a moment after the write
+        left = shuffled(spark) - before
+        if not left:
+            break
+        time.sleep(0.2)
+    return left
+
+
+def test_a_staged_load_leaves_no_shuffle_files(spark, tmp_path):
+    """The files of all loads stayed until the driver happened to collect its garbage."""
+    where = publish.Staging(f"{tmp_path}/staged", f"{tmp_path}/table", f"{tmp_path}/results")
+    rows, before = spark.range(500).repartition(3, "id"), shuffled(spark)
+    publish.stage(rows, where, "day", "2024-01-01")
+    assert not left_behind(spark, before)
+    publish.publish(spark, "t", where, "day", ["2024-01-01"], [quality.unique("id")])
+    assert not left_behind(spark, before)
+    assert spark.read.parquet(where.table).count() == 500 and spark.conf.get(CLEANUP, "false") == "false"

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradewind.operators.quality import Check, evaluate, require
+from tradewind.session import shuffles_removed
 from tradewind.sources import sinks
 
 
@@ -39,18 +40,19 @@ def publish(spark: SparkSession, name: str, where: Staging, column: str, values:
     and the rows stay staged. ``judged`` gives the rows the shape the checks expect. A run that dies half-way is
     repeated: it replaces the same partitions. So staged rows are cleared only once the caller has noted the load.
     """
-    rows = staged_rows(spark, where, column, values)
-    if checks:
-        evaluate(judged(rows.drop(column)), name, checks, parents).write.mode("overwrite").parquet(where.results)
-        require(spark.read.parquet(where.results), name)
-    held = {row[0] for row in rows.select(F.col(column).cast("string")).distinct().collect()}  # of a few values
-    (
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
-        .partitionBy(column).parquet(where.table)
-    )
-    for value in values:
-        if str(value) not in held:  # an empty load
-            sinks.replace_partition(rows.drop(column).limit(0), where.table, column, value)
+    with shuffles_removed(spark):
+        rows = staged_rows(spark, where, column, values)
+        if checks:
+            evaluate(judged(rows.drop(column)), name, checks, parents).write.mode("overwrite").parquet(where.results)
+            require(spark.read.parquet(where.results), name)
+        held = {row[0] for row in rows.select(F.col(column).cast("string")).distinct().collect()}  # of a few values
+        (
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
+            .partitionBy(column).parquet(where.table)
+        )
+        for value in values:
+            if str(value) not in held:  # an empty load
+                sinks.replace_partition(rows.drop(column).limit(0), where.table, column, value)
 
 
 def clear(spark: SparkSession, where: Staging, column: str, values: Sequence) -> None:

@@ -9,6 +9,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tradewind.functions.temporal import parse_time
+from tradewind.session import shuffles_removed
 
 
 def write_parquet(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -23,11 +24,12 @@ def replace_partition(rows: DataFrame, base: str, column: str, value) -> None:
     that they are computed once.
     """
     written = Observation()
-    (
-        rows.observe(written, F.count(F.lit(1)).alias("rows")).withColumn(column, F.lit(value))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
-        .partitionBy(column).parquet(base)
-    )
+    with shuffles_removed(rows.sparkSession):
+        (
+            rows.observe(written, F.count(F.lit(1)).alias("rows")).withColumn(column, F.lit(value))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
+            .partitionBy(column).parquet(base)
+        )
     if not written.get["rows"]:
         rows.sparkSession.createDataFrame([], rows.schema).coalesce(1).write.mode("overwrite").parquet(f"{base}/{column}={value}")
 
