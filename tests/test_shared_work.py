@@ -7,7 +7,7 @@ from pyspark.sql import functions as F, types as T
 from conftest import SMALL
 from tradewind.plans.warehouse import Warehouse
 from tradewind.operators import quality
-from tradewind.registry import loading, topics
+from tradewind.registry import expressions, loading, topics
 from tradewind.session import CLEANUP
 from tradewind.sources import publish, sinks
 from tradewind.sources.star_tables import warehouse
@@ -96,3 +96,10 @@ def test_a_staged_load_leaves_no_shuffle_files(spark, tmp_path):
     publish.publish(spark, "t", where, "day", ["2024-01-01"], [quality.unique("id")])
     assert not left_behind(spark, before)
     assert spark.read.parquet(where.table).count() == 500 and spark.conf.get(CLEANUP, "false") == "false"
+
+
+def test_layers_leave_no_shuffle_files_and_are_packed(spark):
+    before = shuffled(spark)
+    result = expressions.REGISTER.entries["mac04_layer_schema"][0](spark, SMALL)
+    assert not left_behind(spark, before)
+    assert all(".zstd." in x for x in result.inputFiles()) and result.count() == 4

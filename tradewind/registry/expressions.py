@@ -11,7 +11,7 @@ from tradewind.plans.warehouse import Warehouse
 from tradewind.registry.contract import rendered_sql
 from tradewind.registry.oracle import AS_OF as AS_OF_SQL, HEALTH, ISO, TIER, mean
 from tradewind.registry.register import Register
-from tradewind.session import fresh_folder
+from tradewind.session import fresh_folder, shuffles_removed
 from tradewind.sources import star_tables
 from tradewind.sources.extract import as_landed, as_text
 from tradewind.sources.star_tables import AS_OF, RULES, read, warehouse
@@ -305,7 +305,8 @@ def _(spark, folder):
         built = Warehouse(house.raw, house.rules, published, house.ties)
         rows = built.model(models[layer]) if layer in models else raw(spark, folder, "suppliers")
         schema = keys.schema_name(keys.LAYER_SCHEMAS.get(layer), "RAW")
-        rows.write.parquet(f"{root}/{schema}/{layer}")
+        with shuffles_removed(spark):
+            rows.write.option("compression", "zstd").parquet(f"{root}/{schema}/{layer}")
         written = spark.read.parquet(f"{root}/{schema}/{layer}")
         published[models.get(layer)] = written  # later layers read it
         part = written.agg(F.count("*").alias("rows")).select(
